@@ -27,7 +27,7 @@ def whole_number(c: Column) -> Column:
 def bytes_number(c: Column) -> Column:
     """Binary holding number text as a double; undecodable bytes are dropped first."""
     text = F.make_valid_utf8(c.cast("string"))
-    return plain_number(F.replace(text, F.lit("�"), F.lit("")))
+    return plain_number(F.replace(text, F.lit("\ufffd"), F.lit("")))
 
 
 def no_nan(c: Column) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gavelline.constants import NOISE
 
-BLANKS = " \t\n\r\x0b\x0c "
+BLANKS = " \t\n\r\x0b\x0c\u00a0"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 

@@ -15,6 +15,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g") ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )
