@@ -31,34 +31,43 @@ def _general(file: Column) -> Column:
 
 
 def header_detect(grid: DataFrame, keywords: list[str] | None = None) -> DataFrame:
-    """Header row per sheet: most distinct keywords among the first rows, the upper row on a tie, row 0 if too few."""
+    """Header row per sheet and its cells: most distinct keywords among the first rows, the upper row on a tie.
+
+    With too few keywords row 0 is taken.  Only the first rows of each sheet reach the aggregation.
+    """
     words = sorted({k.strip().upper() for k in keywords or HEADER_KEYWORDS})
     hits = F.size(F.array_intersect(F.transform("cells", _same), F.array(*[F.lit(w) for w in words])))
-    top = grid.filter(F.col("row_pos") < HEADER_SEARCH_ROWS).select(*_SHEET, "row_pos", hits.alias("hits"))
-    best = top.groupBy(*_SHEET).agg(F.max(F.struct("hits", (-F.col("row_pos")).alias("above"))).alias("best"))
+    top = grid.filter(F.col("row_pos") < HEADER_SEARCH_ROWS).select(*_SHEET, "row_pos", "cells", hits.alias("hits"))
+    best = top.groupBy(*_SHEET).agg(
+        F.max(F.struct("hits", (-F.col("row_pos")).alias("above"), "cells")).alias("best"),
+        F.min(F.struct("row_pos", "cells")).alias("top"),
+    )
     enough = F.col("best.hits") >= min(HEADER_MIN_HITS, len(words))
     return best.select(
         *_SHEET, F.when(enough, -F.col("best.above")).otherwise(F.lit(0)).alias("header_row"),
-        F.col("best.hits").alias("hits"),
+        F.when(enough, F.col("best.cells")).otherwise(F.col("top.cells")).alias("names"),
+        F.col("top.cells").alias("top_names"), F.col("best.hits").alias("hits"),
     )
 
 
 def with_header(grid: DataFrame, keywords: list[str] | None = None) -> DataFrame:
-    """Header row and first data row per sheet; general reports have their header on top and a noise row below."""
+    """Header row, header cells and first data row per sheet.
+
+    General reports have their header on top, a noise row below it, and one sheet only.
+    """
     general = _general(F.col("file"))
     found = header_detect(grid, keywords)
     header = F.when(general, F.lit(0)).otherwise(F.col("header_row")).cast("bigint")
     return found.filter(~general | (F.col("sheet") == 0)).select(
-        *_SHEET, header.alias("header_row"), (header + F.when(general, F.lit(2)).otherwise(F.lit(1))).alias("first_row")
+        *_SHEET, header.alias("header_row"), (header + F.when(general, F.lit(2)).otherwise(F.lit(1))).alias("first_row"),
+        F.when(general, F.col("top_names")).otherwise(F.col("names")).alias("names"),
     )
 
 
-def _matched_headers(grid: DataFrame, headers: DataFrame, aliases: dict) -> DataFrame:
+def _matched_headers(headers: DataFrame, aliases: dict) -> DataFrame:
     """(file, sheet, pos, name, target) of header cells that name a target column."""
     pairs = [F.lit(x) for target, names in aliases.items() for n in names for x in (n.strip().upper(), target)]
-    rows = grid.filter(F.col("row_pos") <= HEADER_SEARCH_ROWS).join(headers, _SHEET)
-    rows = rows.filter(F.col("row_pos") == F.col("header_row"))
-    cells = rows.select(*_SHEET, F.posexplode("cells").alias("pos", "name"))
+    cells = headers.select(*_SHEET, F.posexplode("names").alias("pos", "name"))
     cells = cells.withColumn("target", F.try_element_at(F.create_map(*pairs), _same(F.col("name"))))
     cells = cells.filter(F.col("target").isNotNull())
     return cells.groupBy(*_SHEET, "target", "name").agg(F.min("pos").alias("pos"))
@@ -69,7 +78,7 @@ def _filled_names(grid: DataFrame, headers: DataFrame, matched: DataFrame) -> Da
     rivals = matched.groupBy("file", "target").agg(F.count_distinct("name").alias("names")).filter("names > 1")
     rivals = matched.join(rivals.select("file", "target"), ["file", "target"], "left_semi")
     spots = rivals.groupBy(*_SHEET).agg(F.collect_list(F.struct("name", "pos")).alias("spots"))  # bounded by the header width
-    rows = grid.join(spots, _SHEET).join(headers, _SHEET).filter(F.col("row_pos") >= F.col("first_row"))
+    rows = grid.join(spots, _SHEET).join(headers.drop("names"), _SHEET).filter(F.col("row_pos") >= F.col("first_row"))
     seen = rows.select("file", F.explode(F.filter(
         "spots", lambda s: present(F.get(F.col("cells"), s["pos"])).isNotNull()
     )).alias("spot"))
@@ -84,7 +93,7 @@ def alias_map(grid: DataFrame, aliases: dict | None = None, keywords: list[str]
     """
     aliases = aliases or LOT_ALIASES
     headers = with_header(grid, keywords)
-    matched = _matched_headers(grid, headers, aliases)
+    matched = _matched_headers(headers, aliases)
     filled = _filled_names(grid, headers, matched)
     usable = matched.join(filled, ["file", "name"], "left")
     first = F.struct(F.col("filled").isNull().alias("empty"), "sheet", "pos")
@@ -92,7 +101,7 @@ def alias_map(grid: DataFrame, aliases: dict | None = None, keywords: list[str]
     places = matched.join(winners, ["file", "target", "name"]).groupBy(*_SHEET).agg(*[
         F.min(F.when(F.col("target") == t, F.col("pos"))).alias(f"at_{t}") for t in aliases
     ])
-    layout = headers.join(places, _SHEET, "left")
+    layout = headers.drop("names").join(places, _SHEET, "left")
     rows = grid.join(layout, _SHEET).filter(F.col("row_pos") >= F.col("first_row"))
     return rows.select(*_SHEET, "row_pos", *[present(F.get("cells", F.col(f"at_{t}"))).alias(t) for t in aliases])
 
