@@ -211,8 +211,7 @@ def lot_csv_scan(spark, sf):
     lines = lines.repartitionByRange("file").sortWithinPartitions("file", "row_pos")
     lines.select("file", "value").write.partitionBy("file").text(folder)
     # the folder of a file carries its name
-    paths = [f"{folder}/*"]
-    grid = files.read_grid(spark, paths, named_by_folder=True)
+    grid = files.read_grid(spark, [f"{folder}/*"], named_by_folder=True)
     return sheets.alias_map(grid).select("file", "lot_number", "broker", "mark", "quantity_kgs", "price")
 
 

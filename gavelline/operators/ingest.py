@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavelline.constants import SUMMARY
 from gavelline.functions.dates import parse_date, parse_date_or_serial
 from gavelline.functions.numbers import numeric, whole_number
 from gavelline.functions.text import blank_to_null
@@ -92,7 +93,7 @@ def ingest_counts(files: DataFrame, inserted: DataFrame) -> DataFrame:
     counts = inserted.groupBy("file_identifier").agg(F.count("*").alias("n"))
     n = F.coalesce("n", F.lit(0))
     status = (
-        F.when(~F.col("readable"), F.lit("FAILURE")).when(n > 0, F.lit("SUCCESS")).otherwise(F.lit("NO_NEW_DATA"))
+        F.when(~F.col("readable") & (F.col("data_type") != SUMMARY), F.lit("FAILURE")).when(n > 0, F.lit("SUCCESS")).otherwise(F.lit("NO_NEW_DATA"))
     )
     df = files.join(counts, "file_identifier", "left")
     return df.select("file_identifier", "data_type", n.alias("records_inserted"), status.alias("status"))

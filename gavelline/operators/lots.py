@@ -78,11 +78,12 @@ _SHARED = [
 _TRACE = ["source_file_identifier", "processed_timestamp"]
 
 
-def split_lots(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_lots(df: DataFrame, keep: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(offers, sales): every lot was offered, a lot with a price was also sold."""
-    offers = df.select(*[c for c in _SHARED + ["valuation_or_rp"] + _TRACE if c in df.columns])
+    trace = [*_TRACE, *keep]
+    offers = df.select(*[c for c in _SHARED + ["valuation_or_rp"] + trace if c in df.columns])
     sales = df.filter(F.col("price").isNotNull())
-    return offers, sales.select(*[c for c in _SHARED + ["price", "buyer"] + _TRACE if c in df.columns])
+    return offers, sales.select(*[c for c in _SHARED + ["price", "buyer"] + trace if c in df.columns])
 
 
 def raw_export(prepared: DataFrame) -> DataFrame:

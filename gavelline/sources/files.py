@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gavelline.constants import COMMENTARY, OFFER, SALE, SUMMARY
 from gavelline.functions.text import strip
+from gavelline.schemas import GRID
 
 # Up to this size a file is split into records by one task, so that quoted line breaks stay inside a record.
 # Larger files are read line by line in blocks.
@@ -38,9 +39,8 @@ def file_identifier(name: Column, modified: Column) -> Column:
     return F.concat(name, F.lit("|"), seconds)
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files of a folder with type and identifier; file contents are not read."""
-    found = spark.read.format("binaryFile").load(folder).select("path", "modificationTime", "length")
+def typed_files(found: DataFrame) -> DataFrame:
+    """Listed files with name, type and identifier; files to leave alone are dropped."""
     name = F.url_decode(F.replace(F.substring_index("path", "/", -1), F.lit("+"), F.lit("%2B")))
     df = found.select(
         "path", name.alias("file"), "length", file_type(name).alias("data_type"),
@@ -49,6 +49,11 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return df.filter(F.col("data_type").isNotNull())
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a folder with type and identifier; file contents are not read."""
+    return typed_files(spark.read.format("binaryFile").load(folder).select("path", "modificationTime", "length"))
+
+
 def csv_cells(line: Column) -> Column:
     """Cells of one delimited record; quoted cells may hold commas and doubled quotes."""
     marked = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]++|"")*+"|[^,]*+)'), F.lit(1))
@@ -60,40 +65,55 @@ def csv_cells(line: Column) -> Column:
     return F.transform(marked, bare)
 
 
-def read_grid(
-    spark: SparkSession, paths: list[str], whole_file_bytes: int = WHOLE_FILE_BYTES, named_by_folder: bool = False
-) -> DataFrame:
-    """Records of delimited files as (file, sheet, row_pos, cells); blank lines do not count.
-
-    A file is known by its own name, or by the folder `file=<name>` it lies in.
-
-    row_pos starts at 0 and grows down the file.  In a file read by blocks it is the block offset plus the line number
-    inside the block, so it needs no pass over the blocks before; the first block still counts 0, 1, 2, ...
-    """
+def _file_name(named_by_folder: bool = False) -> Column:
     name = F.col("_metadata.file_name")
-    if named_by_folder:
-        name = F.regexp_extract("_metadata.file_path", "/file=([^/]*)/", 1)
     # names come percent-encoded; a plus sign in them is a plain plus sign
-    name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     if named_by_folder:
-        name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-    name = name.alias("file")
+        folder = F.regexp_extract("_metadata.file_path", "/file=([^/]*)/", 1)
+        for _ in range(2):  # encoded once as a partition value and once as a path
+            folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+        decoded = folder
+    return decoded.alias("file")
+
+
+def _as_grid(lines: DataFrame) -> DataFrame:
+    cells = csv_cells(F.regexp_replace("line", "^\ufeff", ""))
+    return lines.select("file", F.lit(0).alias("sheet"), F.col("row_pos").cast("bigint").alias("row_pos"), cells.alias("cells"))
+
+
+def whole_files(texts: DataFrame) -> DataFrame:
+    """Grid of (file, value) rows that hold a whole file each; quoted line breaks stay inside a record."""
     record = r'(?:[^"\r\n]++|"[^"]*+"|")++'
-    small = spark.read.text(paths, wholetext=True)
-    small = small.select("value", name, "_metadata.file_size").filter(F.col("file_size") <= whole_file_bytes)
     lines = F.filter(F.regexp_extract_all("value", F.lit(record), F.lit(0)), lambda r: strip(r) != "")
-    small = small.select("file", F.posexplode(lines).alias("row_pos", "line"))
+    return _as_grid(texts.select("file", F.posexplode(lines).alias("row_pos", "line")))
 
-    large = spark.read.text(paths).select(
-        "value", name, "_metadata.file_size", "_metadata.file_block_start"
-    )
-    large = large.filter((F.col("file_size") > whole_file_bytes) & (strip(F.col("value")) != ""))
+
+def block_lines(spark: SparkSession, paths: list[str], named_by_folder: bool = False) -> DataFrame:
+    """Grid of large files, read by blocks; a record is a line.
+
+    row_pos is the offset of the block plus the line number inside it: it grows down the file without a pass over the
+    blocks before, and the first block counts 0, 1, 2, ... like a file that is read whole.  Lines are numbered per block,
+    so no file meets in one task.
+    """
+    lines = spark.read.text(paths).select("value", _file_name(named_by_folder), "_metadata.file_block_start")
+    lines = lines.filter(strip(F.col("value")) != "").withColumn("seen", F.monotonically_increasing_id())
     in_block = Window.partitionBy("file", "file_block_start").orderBy("seen")
-    large = large.withColumn("seen", F.monotonically_increasing_id())
-    large = large.withColumn("row_pos", F.col("file_block_start") + F.row_number().over(in_block) - 1)
-    large = large.select("file", "row_pos", F.regexp_replace("value", r"\r$", "").alias("line"))
+    position = F.col("file_block_start") + F.row_number().over(in_block) - 1
+    return _as_grid(lines.select("file", position.alias("row_pos"), F.regexp_replace("value", r"\r$", "").alias("line")))
 
-    return small.union(large).select(
-        "file", F.lit(0).alias("sheet"), F.col("row_pos").cast("bigint").alias("row_pos"),
-        csv_cells(F.regexp_replace("line", "^\ufeff", "")).alias("cells"),
-    )
+
+def read_grid(spark: SparkSession, small: list[str], large: list[str] = (), named_by_folder: bool = False) -> DataFrame:
+    """Records of delimited files as (file, sheet, row_pos, cells); blank lines do not count.
+
+    A file is known by its own name, or by the folder `file=<name>` it lies in.
+    """
+    grids = []
+    if small:
+        texts = spark.read.text(list(small), wholetext=True).select("value", _file_name(named_by_folder))
+        grids.append(whole_files(texts))
+    if large:
+        grids.append(block_lines(spark, list(large), named_by_folder))
+    if not grids:
+        return spark.createDataFrame([], GRID)
+    return grids[0] if len(grids) == 1 else grids[0].union(grids[1])

@@ -15,8 +15,8 @@ SCHEMAS = {
 }
 
 
-def read_store(spark: SparkSession, root: str, name: str, without: str | None = None) -> DataFrame:
-    """A stored table, or no rows where nothing was written yet; one batch can be left out."""
+def read_store(spark: SparkSession, root: str, name: str, without: str | None = None, only: str | None = None) -> DataFrame:
+    """A stored table, or no rows where nothing was written yet; one batch can be left out, or be the only one."""
     try:
         df = spark.read.schema(SCHEMAS[name] + ", batch string").parquet(f"{root}/{name}")
     except AnalysisException as e:
@@ -25,6 +25,8 @@ def read_store(spark: SparkSession, root: str, name: str, without: str | None =
         return spark.createDataFrame([], SCHEMAS[name])
     if without is not None:
         df = df.filter(F.col("batch") != without)
+    if only is not None:
+        df = df.filter(F.col("batch") == only)
     return df.select(*[c.split()[0] for c in SCHEMAS[name].split(", ")])
 
 
