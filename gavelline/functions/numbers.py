@@ -1,5 +1,7 @@
 """Numeric clean-up and exact sums."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,8 +38,16 @@ def no_nan(c: Column) -> Column:
 
 
 def exact_sum(c: Column) -> Column:
-    """Sum that does not depend on the order of rows: four decimals, then back to double."""
-    return F.sum(c.try_cast("decimal(18,4)")).cast("double")
+    """Sum to four decimals that does not depend on the order of rows.
+
+    Values are added as whole ten-thousandths, in a high and a low part, so that neither part can overflow and no
+    decimal object is made per row.
+    """
+    units = F.rint(c * 10000).try_cast("bigint")
+    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    whole = high * F.lit(Decimal(1 << 20)) + low
+    return (whole * F.lit(Decimal("0.0001"))).cast("double")
 
 
 def exact_mean(c: Column) -> Column:

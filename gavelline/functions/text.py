@@ -14,6 +14,11 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
+def once(c: Column, use) -> Column:
+    """use(c) with a costly c evaluated one time, however often `use` refers to it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
@@ -24,6 +29,11 @@ def clean_text(c: Column) -> Column:
     return F.when(~v.isin(NOISE), v)
 
 
+def not_noise(c: Column) -> Column:
+    """Whether cleaning would leave a text; as a filter it costs one pass over the text."""
+    return ~F.upper(strip(c)).isin(NOISE)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case the letters A to Z only, as a case-blind LIKE compares them."""
     return F.translate(c, _UPPER, _UPPER.lower())

@@ -12,8 +12,7 @@ def index_entries(files: DataFrame) -> DataFrame:
     """Entries of index files given as (path, body); a file that does not parse is skipped."""
     row = ", ".join(f"{n}: {t}" for n, t in (c.split() for c in INDEX_ENTRY.split(", ")))
     parsed = F.from_json("body", f"array<struct<{row}>>", {"mode": "PERMISSIVE"})
-    entries = files.withColumn("entries", parsed).filter(F.col("entries").isNotNull())
-    return entries.select("path", F.posexplode("entries").alias("pos", "entry")).select("path", "pos", "entry.*")
+    return files.select("path", F.posexplode(parsed).alias("pos", "entry")).select("path", "pos", "entry.*")
 
 
 def library_entries(entries: DataFrame, source: str, viewer="report_viewer.html", folder="report_data") -> DataFrame:

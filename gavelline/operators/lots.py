@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavelline.constants import PLACEHOLDER
-from gavelline.functions.numbers import bytes_number, no_nan, plain_number
-from gavelline.functions.text import clean_text
+from gavelline.functions.numbers import bytes_number, exact_sum, no_nan, plain_number
+from gavelline.functions.text import clean_text, not_noise, strip
 
 KEYS = ["broker", "lot_number", "sale_number", "sale_date"]
 _TEXT = ["mark", "grade", "broker", "lot_number", "sale_number", "buyer"]
@@ -32,8 +32,16 @@ def key_filter(df: DataFrame) -> DataFrame:
 
 
 def stored_lots(df: DataFrame) -> DataFrame:
-    """A stored lot table as the analysis reads it."""
-    return key_filter(clean_columns(number_columns(df)))
+    """A stored lot table as the analysis reads it: numbers as doubles, texts cleaned, rows without a key dropped.
+
+    Keys are tested on the stored texts, where the test can move towards the scan; what passes needs no second test.
+    """
+    keys = [k for k in KEYS if k in _TEXT and k in df.columns]
+    for k in keys:
+        df = df.filter(not_noise(F.col(k)))
+    df = number_columns(df.na.drop(subset=["sale_date"]) if "sale_date" in df.columns else df)
+    df = df.withColumns({k: F.upper(strip(F.col(k))) for k in keys})
+    return clean_columns(df, [c for c in _TEXT if c not in keys])
 
 
 def package_factor(package_count: Column) -> Column:
@@ -103,9 +111,5 @@ def raw_export(prepared: DataFrame) -> DataFrame:
 def grade_summary(offers: DataFrame) -> DataFrame:
     """Distinct lots and kilograms per sale, auction type and grade."""
     keys = ["sale_number", "auction_type", "grade"]
-    per_lot = offers.groupBy(*keys, "lot_number").agg(
-        F.sum(F.col("quantity_kgs").try_cast("decimal(18,4)")).alias("kgs")
-    )
-    return per_lot.groupBy(*keys).agg(
-        F.count("lot_number").alias("lots"), F.sum("kgs").cast("double").alias("quantity_kgs")
-    )
+    per_lot = offers.groupBy(*keys, "lot_number").agg(exact_sum(F.col("quantity_kgs")).alias("kgs"))
+    return per_lot.groupBy(*keys).agg(F.count("lot_number").alias("lots"), exact_sum(F.col("kgs")).alias("quantity_kgs"))

@@ -3,16 +3,21 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gavelline.functions.text import once
+
 # The columns of a payload row, in order.
 PAYLOAD_COLUMNS = ["Lot No", "Garden", "Grade", "Invoice", "Packages", "Price"]
 
 
+def _width(rows):
+    return F.array_max(F.transform(rows, lambda r: F.size(r)))
+
+
 def json_rows_flatten(payloads: DataFrame) -> DataFrame:
     """Rows of (centre, sale, body) payloads whose widest row has six cells; other payloads give nothing."""
     rows = F.from_json("body", "struct<aaData: array<array<string>>>")["aaData"]
-    df = payloads.select("centre", "sale", rows.alias("rows")).filter(F.size("rows") > 0)
-    width = F.array_max(F.transform("rows", lambda r: F.size(r)))
-    df = df.filter(width == len(PAYLOAD_COLUMNS)).select("centre", "sale", F.explode("rows").alias("row"))
+    rows = once(rows, lambda r: F.when(_width(r) == len(PAYLOAD_COLUMNS), r))
+    df = payloads.select("centre", "sale", F.explode(rows).alias("row"))
     cells = [F.get("row", F.lit(i)).alias(name) for i, name in enumerate(PAYLOAD_COLUMNS)]
     return df.select(*cells, F.col("centre").alias("auction_centre"), F.col("sale").alias("sale_no_scraped"))
 
@@ -20,8 +25,7 @@ def json_rows_flatten(payloads: DataFrame) -> DataFrame:
 def payload_rejects(payloads: DataFrame) -> DataFrame:
     """Payloads that do not parse or have the wrong width."""
     rows = F.from_json("body", "struct<aaData: array<array<string>>>")["aaData"]
-    width = F.array_max(F.transform(rows, lambda r: F.size(r)))
-    wrong = rows.isNull() | ((F.size(rows) > 0) & (width != len(PAYLOAD_COLUMNS)))
+    wrong = once(rows, lambda r: r.isNull() | ((F.size(r) > 0) & (_width(r) != len(PAYLOAD_COLUMNS))))
     return payloads.filter(F.coalesce(wrong, F.lit(True)))
 
 
