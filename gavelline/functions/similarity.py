@@ -4,7 +4,6 @@ The ratio of a and b is round(100 * (1 - indel / (len(a) + len(b)))), where inde
 characters.  Two texts count as alike above 90, which means indel < 0.095 * (len(a) + len(b)).
 """
 
-import hashlib
 import sys
 
 import numpy as np
@@ -19,7 +18,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 THRESHOLD = 90
 GRAM = 3
-SHARED = 8
+SHARED = 24
 
 
 def common_length(a: str, b: str) -> int:
@@ -65,38 +64,65 @@ def broken_grams(length: int, gram: int = GRAM) -> int:
     return worst
 
 
-def _hash(gram: str, n: int) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{n}\0{gram}".encode(), digest_size=8).digest(), "big", signed=True)
+def _gram_codes(text: str) -> np.ndarray:
+    """One number per gram of three characters; different grams have different numbers."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("uint64")
+    if len(points) < GRAM:
+        return np.empty(0, dtype="uint64")
+    return points[:-2] << np.uint64(42) | points[1:-1] << np.uint64(21) | points[2:]
 
 
-def text_keys(text: str, common: dict[str, int], broken: dict[int, int], gram: int = GRAM) -> tuple[int, list[int]]:
+def _scatter(codes: np.ndarray) -> np.ndarray:
+    """Spread numbers over 64 bits, one to one."""
+    x = (codes ^ (codes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def gram_table(frequent: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, ranks) of frequent grams, sorted by code."""
+    codes = np.array([_gram_codes(g)[0] for g in frequent], dtype="uint64")
+    ranks = np.array(list(frequent.values()), dtype="int64")
+    order = np.argsort(codes)
+    return codes[order], ranks[order]
+
+
+def text_keys(text: str, table: tuple[np.ndarray, np.ndarray], broken: dict[int, int]) -> tuple[int, np.ndarray]:
     """(spare, keys) of a text: its rarest grams, and how many of all its grams every alike text must have.
 
     With `lost` grams that an alike text can lack, the first lost + SHARED grams of two alike texts have SHARED in
     common, or as many as the larger spare if that is less.  Repeats of a gram are numbered.  Any fixed order of grams
-    is safe; `common` puts the frequent ones last.  Texts too short to lose a gram get no keys: they are alike only if
+    is safe; `table` puts the frequent ones last.  Texts too short to lose a gram get no keys: they are alike only if
     they are equal.  `broken` remembers broken_grams.
     """
-    seen: dict[str, int] = {}
-    grams = []
-    for i in range(len(text) - gram + 1):
-        g = text[i:i + gram]
-        seen[g] = n = seen.get(g, -1) + 1
-        grams.append((common.get(g, 0), _hash(g, n)))
-    if len(text) not in broken:
-        broken[len(text)] = broken_grams(len(text), gram)
-    lost = broken[len(text)]
-    return (len(grams) - lost, [k for _, k in sorted(grams)[:lost + SHARED]]) if lost else (0, [])
-
-
-def keys_of(common: dict[str, int]):
+    size = len(text)
+    if size not in broken:
+        broken[size] = broken_grams(size)
+    lost = broken[size]
+    if not lost:
+        return 0, np.empty(0, dtype="int64")
+    codes = np.sort(_gram_codes(text))
+    index = np.arange(len(codes))
+    fresh = np.concatenate(([True], codes[1:] != codes[:-1]))
+    repeat = index - np.maximum.accumulate(np.where(fresh, index, 0))
+    keys = _scatter(_scatter(codes) + repeat.astype("uint64"))
+    ranks = np.zeros(len(codes), dtype="int64")
+    if len(table[0]):
+        at = np.minimum(np.searchsorted(table[0], codes), len(table[0]) - 1)
+        ranks = np.where(table[0][at] == codes, table[1][at], 0)
+    first = np.lexsort((keys, ranks))[:lost + SHARED]
+    return len(codes) - lost, keys[first].view("int64")
+
+
+def keys_of(frequent: dict[str, int]):
     """A vectorised function for text_keys with a given table of frequent grams."""
+    table = gram_table(frequent)
 
     @F.pandas_udf(T.StructType([T.StructField("spare", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))]))
     def keys(text: pd.Series) -> pd.DataFrame:
         broken: dict[int, int] = {}
-        found = [text_keys(t, common, broken) for t in text]
-        return pd.DataFrame({"spare": [f[0] for f in found], "keys": [np.array(f[1], dtype="int64") for f in found]})
+        found = [text_keys(t, table, broken) for t in text]
+        return pd.DataFrame({"spare": [f[0] for f in found], "keys": [f[1] for f in found]})
 
     return keys
 

@@ -73,9 +73,14 @@ def with_id(texts: DataFrame) -> DataFrame:
     return texts.select("headline").distinct().withColumn("id", F.unhex(F.md5("headline")))
 
 
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows on as many tasks as the session shuffles to: the steps that follow take much time for few bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *(by or ("id",)))
+
+
 def headline_keys(texts: DataFrame, common: dict[str, int]) -> DataFrame:
     """(id, length, spare, key) rows of headlines; alike headlines that differ share several keys."""
-    found = texts.select("id", F.length("headline").alias("length"), keys_of(common)(F.col("headline")).alias("f"))
+    found = _spread(texts).select("id", F.length("headline").alias("length"), keys_of(common)(F.col("headline")).alias("f"))
     return found.select("id", "length", "f.spare", F.explode("f.keys").alias("key"))
 
 
@@ -93,7 +98,8 @@ def _alike(left: DataFrame, right: DataFrame, texts_a: DataFrame, texts_b: DataF
     near = pairs.groupBy("a", "b", need.alias("need")).agg(F.count("*").alias("n")).filter("n >= need").select("a", "b")
     near = near.join(texts_a.select(F.col("id").alias("a"), F.col("headline").alias("ta")), "a")
     near = near.join(texts_b.select(F.col("id").alias("b"), F.col("headline").alias("tb")), "b")
-    return near.filter(cheap_bound("ta", "tb")).filter(is_alike("ta", "tb")).select("a", "b")
+    near = _spread(near, "a", "b").filter(cheap_bound("ta", "tb"))
+    return near.filter(is_alike("ta", "tb")).select("a", "b")
 
 
 def headline_matches(new: DataFrame, store: DataFrame) -> DataFrame:

@@ -26,19 +26,20 @@ def snippet_clean(snippet: Column) -> Column:
     return strip(F.regexp_replace(strip(snippet), "(?i)^NEWS", ""))
 
 
-_LIST = (
-    "struct<`@type`: string, itemListElement: array<struct<item: struct<`@type`: string, name: string, url: string, "
-    "description: string, datePublished: string>>>>"
-)
+_LIST = "struct<`@type`: string, itemListElement: array<string>>"
+_ITEM = "struct<`@type`: string, name: string, url: string, description: string, datePublished: string>"
 
 
 def jsonld_articles(pages: DataFrame, source: str) -> DataFrame:
-    """Articles of the first item list of a page that names any; an article needs a name and a url."""
+    """Articles of the first item list of a page that names any; an article needs a name and a url.
+
+    Entries are parsed one by one, so an entry of another shape does not spoil its list.
+    """
     bodies = F.regexp_extract_all("html", F.lit(r'(?s)<script type="application/ld\+json">(.*?)</script>'), F.lit(1))
     lists = F.transform(bodies, lambda b: F.from_json(strip(b), _LIST))
     lists = F.filter(lists, lambda d: d["@type"] == "ItemList")
     found = F.transform(lists, lambda d: F.filter(
-        F.transform(d["itemListElement"], lambda e: e["item"]),
+        F.transform(d["itemListElement"], lambda e: F.from_json(F.from_json(e, "struct<item: string>")["item"], _ITEM)),
         lambda a: (a["@type"] == "Article") & (a["name"] != "") & (a["url"] != ""),
     ))
     first = F.get(F.filter(found, lambda a: F.size(a) > 0), F.lit(0))

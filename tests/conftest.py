@@ -12,7 +12,7 @@ from gavelline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("8", 8, "8g")
+    session = local_session("8", 4, "8g")
     session.sparkContext.setLogLevel("ERROR")
     if not session.sparkContext.getCheckpointDir():
         session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gavelline-"))

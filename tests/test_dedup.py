@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from gavelline.functions.similarity import SHARED, broken_grams, ratio, text_keys
+from gavelline.functions.similarity import SHARED, broken_grams, gram_table, ratio, text_keys
 from gavelline.operators import dedup
 
 
@@ -76,7 +76,7 @@ def test_alike_texts_share_a_key():
         b = mutate(rng, a, rng.randrange(1, 2 + len(a) // 6), letters)
         if a != b and a and b and ratio(a, b) > 90:
             checked += 1
-            common = {g: rng.randrange(5) for g in ("abc", "aaa", "bbb", "aba")}
+            common = gram_table({g: rng.randrange(5) for g in ("abc", "aaa", "bbb", "aba")})
             (sa, ka), (sb, kb) = text_keys(a, common, {}), text_keys(b, common, {})
             assert len(set(ka) & set(kb)) >= min(SHARED, max(sa, sb, 1)), (a, b)
     assert checked > 1000
