@@ -1,5 +1,7 @@
 """Lot rows: cleaning at read, weights, and the prepared sales and offers."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +39,8 @@ def stored_lots(df: DataFrame) -> DataFrame:
     Keys are tested on the stored texts, where the test can move towards the scan; what passes needs no second test.
     """
     keys = [k for k in KEYS if k in _TEXT and k in df.columns]
-    for k in keys:
-        df = df.filter(not_noise(F.col(k)))
-    df = number_columns(df.na.drop(subset=["sale_date"]) if "sale_date" in df.columns else df)
+    tests = [not_noise(F.col(k)) for k in keys] + [F.col("sale_date").isNotNull() for _ in {"sale_date"} & set(df.columns)]
+    df = number_columns(df.filter(reduce(Column.__and__, tests)) if tests else df)
     df = df.withColumns({k: F.upper(strip(F.col(k))) for k in keys})
     return clean_columns(df, [c for c in _TEXT if c not in keys])
 
