@@ -2,12 +2,39 @@
 
 from pyspark.sql import functions as F
 
-from gavelline.llm import mixing, sharding
-from gavelline.llm.common import table
+from gavelline.llm import bfd_packing, line_dedup, mix_packing, mixing, sharding
+from gavelline.llm.common import table, whole
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+def op1_line_dedup(spark, sf_dir):
+    """All documents without the lines that five documents or more share, but for the last of these."""
+    documents = table(spark, sf_dir, "documents")
+    cleaned = line_dedup.LineStore.of(documents).clean(documents, own=True)
+    kept = F.sha2(whole(F.col("_kept")).cast("binary"), 256).alias("kept_sha256")
+    return cleaned.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), kept)
+
+
+OP1_SQL = r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place
+  from documents),
+keyed as (
+  select *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines),
+shared as (
+  select key, max(doc_id) as keeper from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+marked as (
+  select k.*, s.key is not null and k.doc_id <> s.keeper as gone from keyed k left join shared s on s.key = k.key)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
 def op2_minimax_sharding(spark, sf_dir):
     """All documents in 24 shards of near equal bytes; equal texts stay together."""
     sharded = sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
@@ -17,6 +44,11 @@ def op2_minimax_sharding(spark, sf_dir):
     )
 
 
+def op4_mixture_packing(spark, sf_dir):
+    """All documents in sequences of 2048 tokens, each near the sources' shares of all tokens."""
+    return mix_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark, sf_dir):
     """All documents, each with the words that the mix of sources takes from it."""
     mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
@@ -48,8 +80,16 @@ select doc_id, size, source_size, target,
 from sized join rates on sized.source is not distinct from rates.source
 """
 
+def op8_bfd_packing(spark, sf_dir):
+    """All documents as packed rows of token ids."""
+    return bfd_packing.pack(table(spark, sf_dir, "documents"))
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
+    "op1_line_dedup": (op1_line_dedup, OP1_SQL),
     "op2_minimax_sharding": (op2_minimax_sharding, None),
+    "op4_mixture_packing": (op4_mixture_packing, None),
     "op7_source_mixing": (op7_source_mixing, OP7_SQL),
+    "op8_bfd_packing": (op8_bfd_packing, None),
 }
