@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gavelline.llm import bfd_packing, line_dedup, mix_packing, mixing, sharding
+from gavelline.llm import bfd_packing, line_dedup, mix_packing, mixing, sharding, simhash
 from gavelline.llm.common import table, whole
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -49,6 +49,11 @@ def op4_mixture_packing(spark, sf_dir):
     return mix_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_near_dedup(spark, sf_dir):
+    """All documents with their fingerprint and the class of near copies they belong to."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), 4, 4)
+
+
 def op7_source_mixing(spark, sf_dir):
     """All documents, each with the words that the mix of sources takes from it."""
     mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
@@ -90,6 +95,7 @@ QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
     "op2_minimax_sharding": (op2_minimax_sharding, None),
     "op4_mixture_packing": (op4_mixture_packing, None),
+    "op6_simhash_near_dedup": (op6_simhash_near_dedup, None),
     "op7_source_mixing": (op7_source_mixing, OP7_SQL),
     "op8_bfd_packing": (op8_bfd_packing, None),
 }
