@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gavelline.llm import bfd_packing, line_dedup, mix_packing, mixing, sharding, simhash
+from gavelline.llm import bfd_packing, fingerprints, line_dedup, mix_packing, mixing, sharding, simhash
 from gavelline.llm.common import table, whole
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -44,6 +44,11 @@ def op2_minimax_sharding(spark, sf_dir):
     )
 
 
+def op3_weighted_fingerprints(spark, sf_dir):
+    """All documents with the fingerprints of their texts and of their edited texts."""
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
 def op4_mixture_packing(spark, sf_dir):
     """All documents in sequences of 2048 tokens, each near the sources' shares of all tokens."""
     return mix_packing.pack(table(spark, sf_dir, "documents"))
@@ -94,6 +99,7 @@ def op8_bfd_packing(spark, sf_dir):
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
     "op2_minimax_sharding": (op2_minimax_sharding, None),
+    "op3_weighted_fingerprints": (op3_weighted_fingerprints, None),
     "op4_mixture_packing": (op4_mixture_packing, None),
     "op6_simhash_near_dedup": (op6_simhash_near_dedup, None),
     "op7_source_mixing": (op7_source_mixing, OP7_SQL),
