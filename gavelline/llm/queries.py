@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gavelline.llm import bfd_packing, fingerprints, line_dedup, mix_packing, mixing, sharding, simhash
+from gavelline.llm import bfd_packing, fingerprints, line_dedup, mix_packing, mixing, quality, sharding, simhash, toxicity
 from gavelline.llm.common import table, whole
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -54,6 +54,12 @@ def op4_mixture_packing(spark, sf_dir):
     return mix_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark, sf_dir):
+    """All documents with their statistics and the verdict of base rules and boosted trees."""
+    ruled = quality.rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return ruled.select("doc_id", *quality.BASE, "base_failed", "kept", "score")
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     """All documents with their fingerprint and the class of near copies they belong to."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), 4, 4)
@@ -95,13 +101,24 @@ def op8_bfd_packing(spark, sf_dir):
     return bfd_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark, sf_dir):
+    """All documents with the score of a model that has not seen the labels of a fifth of the ids."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.fitted(documents, labels.filter(~held_out))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return toxicity.scored(documents, model).select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
     "op2_minimax_sharding": (op2_minimax_sharding, None),
     "op3_weighted_fingerprints": (op3_weighted_fingerprints, None),
     "op4_mixture_packing": (op4_mixture_packing, None),
+    "op5_quality_rules": (op5_quality_rules, None),
     "op6_simhash_near_dedup": (op6_simhash_near_dedup, None),
     "op7_source_mixing": (op7_source_mixing, OP7_SQL),
     "op8_bfd_packing": (op8_bfd_packing, None),
+    "op9_toxicity": (op9_toxicity, None),
 }
