@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gavelline.llm import bfd_packing, fingerprints, line_dedup, mix_packing, mixing, quality, sharding, simhash, toxicity
+from gavelline.llm import bfd_packing, fingerprints, licences, line_dedup, mix_packing, mixing, quality, sharding, simhash, toxicity
 from gavelline.llm.common import table, whole
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -110,6 +110,11 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.scored(documents, model).select("doc_id", held_out.alias("held_out"), "score", predicted)
 
 
+def op10_licence_scan(spark, sf_dir):
+    """The licences of all documents."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
@@ -121,4 +126,5 @@ QUERIES = {
     "op7_source_mixing": (op7_source_mixing, OP7_SQL),
     "op8_bfd_packing": (op8_bfd_packing, None),
     "op9_toxicity": (op9_toxicity, None),
+    "op10_licence_scan": (op10_licence_scan, None),
 }
