@@ -166,7 +166,7 @@ def _batch(rows: list[tuple], block: int, kind: str, texts: list | None = None)
     columns = list(zip(*rows)) or [[]] * len(fields)
     data = {name: pa.array(c, types[t]) for (name, t), c in zip(fields, columns)}
     n = len(rows)
-    data |= {"_block": pa.array([block] * n, pa.int64()), "_kind": pa.array([kind] * n), "_text": pa.array(texts or [None] * n, pa.string())}
+    data |= {"_block": pa.array([block] * n, pa.int64()), "_kind": pa.array([kind] * n, pa.string()), "_text": pa.array(texts or [None] * n, pa.string())}
     return pa.record_batch(data)
 
 
