@@ -65,8 +65,14 @@ def cleaned(column: str) -> str:
 
 
 def total(expression: str) -> str:
-    """SQL of a sum that does not depend on row order."""
-    return f"cast(sum(cast({expression} as decimal(18,4))) as double)"
+    """SQL of the exact sum of doubles: whole numbers and 2^-53 parts in wide integers, rounded once."""
+    x = f"cast({expression} as double)"
+    units = f"sum(cast(trunc(({x} - trunc({x})) * 9007199254740992) as hugeint))"
+    wholes = f"sum(cast(trunc({x}) as hugeint))"
+    return (
+        f"(cast({wholes} + {units} // 9007199254740992 as double) "
+        f"+ cast({units} % 9007199254740992 as double) / 9007199254740992)"
+    )
 
 
 def mean(expression: str) -> str:

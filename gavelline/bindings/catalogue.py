@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from gavelline.bindings.base import table, total
+from gavelline.functions.numbers import exact_sum
 from gavelline.operators import catalogue, statistics
 
 SOURCE = "Weekly Desk"
@@ -101,10 +102,9 @@ def _submissions(spark, sf):
 
 
 def _registered(spark, sf):
-    """Reports of the year 1996 are known, the others come in."""
+    """All reports come in, those of the year 1996 are known."""
     df = _submissions(spark, sf)
-    known, new = df.filter("year = 1996"), df.filter("year <> 1997 or week_number < 7")
-    return catalogue.registry_insert(new, known)
+    return catalogue.registry_insert(df, df.filter("year = 1996"))
 
 
 def _results(spark, sf):
@@ -145,8 +145,7 @@ with subs as (
   from orders),
 added as (
   select *, sha256(report_link) as report_id from subs
-  where (year <> 1997 or week_number < 7)
-    and report_link not in (select report_link from subs where year = 1996)
+  where report_link not in (select report_link from subs where year = 1996)
   qualify row_number() over (partition by report_link order by submission) = 1),
 children as (
   select report_id, cast(l_linenumber as varchar) as lot_number, cast(l_partkey as varchar) as garden_name,
@@ -188,8 +187,9 @@ def job_facets(spark, sf):
 
 
 def _saves(spark, sf):
-    return table(spark, sf, "events").filter("event_type = 'purchase'").select(
-        F.col("user_id").cast("string").alias("user_id"), F.lit("jobs").alias("item_type"),
+    kind = F.when(F.col("event_type") == "purchase", F.lit("jobs")).otherwise(F.col("event_type"))
+    return table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("user_id"), kind.alias("item_type"),
         F.floor("value").cast("string").alias("item_id"),
     )
 
@@ -209,13 +209,9 @@ _SAVED = """(select cast(cast(floor(value) as bigint) as varchar) from events wh
 
 def _nations(spark, sf):
     """Customer balances by nation as this year, order totals by nation as last year."""
-    c = table(spark, sf, "customer").groupBy("c_nationkey").agg(
-        F.sum(F.col("c_acctbal").cast("decimal(18,4)")).cast("double").alias("current_year_todate")
-    )
+    c = table(spark, sf, "customer").groupBy("c_nationkey").agg(exact_sum(F.col("c_acctbal")).alias("current_year_todate"))
     o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    o = o.filter(F.year("o_orderdate") == 1997).groupBy(F.col("c_nationkey").alias("o_nationkey")).agg(
-        F.sum(F.col("o_totalprice").cast("decimal(18,4)")).cast("double").alias("previous_year_todate")
-    )
+    o = o.groupBy(F.col("c_nationkey").alias("o_nationkey")).agg(exact_sum(F.col("o_totalprice")).alias("previous_year_todate"))
     n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     df = n.join(c, F.col("n_nationkey") == F.col("c_nationkey"), "left").join(o, F.col("n_nationkey") == F.col("o_nationkey"), "left")
     some = F.when(F.col("n_nationkey") % 6 != 0, F.col("previous_year_todate"))
@@ -248,8 +244,7 @@ def _imports(spark, sf):
     s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     lines = table(spark, sf, "lineitem").join(s, F.col("l_suppkey") == F.col("s_suppkey"))
     df = lines.groupBy("n_name", "n_nationkey").agg(
-        F.sum(F.col("l_quantity").cast("decimal(18,4)")).cast("double").alias("mass"),
-        F.sum(F.col("l_extendedprice").cast("decimal(18,4)")).cast("double").alias("value"),
+        exact_sum(F.col("l_quantity")).alias("mass"), exact_sum(F.col("l_extendedprice")).alias("value"),
     )
     k = F.col("n_nationkey")
     return df.select(
@@ -283,8 +278,7 @@ with figures as (
   select n_name, r_name, c.v as cur, case when n_nationkey % 6 <> 0 then o.v end as prev
   from nation join region on n_regionkey = r_regionkey
     left join (select c_nationkey, {total('c_acctbal')} as v from customer group by 1) c on c.c_nationkey = n_nationkey
-    left join (select c_nationkey, {total('o_totalprice')} as v from orders join customer on o_custkey = c_custkey
-               where year(o_orderdate) = 1997 group by 1) o on o.c_nationkey = n_nationkey),
+    left join (select c_nationkey, {total('o_totalprice')} as v from orders join customer on o_custkey = c_custkey group by 1) o on o.c_nationkey = n_nationkey),
 sums as (select coalesce({total('coalesce(cur, 0)')}, 0) as c, coalesce({total('coalesce(prev, 0)')}, 0) as p from figures),
 parts as (select r_name, {total('coalesce(cur, 0)')} as c, {total('coalesce(prev, 0)')} as p from figures group by 1)
 """

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gavelline.bindings.base import KPIS_SQL, MOVES_SQL, raw_offers, raw_sales, table, with_lots
+from gavelline.bindings.base import KPIS_SQL, MOVES_SQL, raw_offers, raw_sales, table, total, with_lots
 from gavelline.bindings.ingest import _APPEND
 from gavelline.bindings.sales import _AHEAD, _INSIGHTS, _MOVERS, _TEXTS
 from gavelline.plans import weekly
@@ -58,7 +58,7 @@ def report_documents(spark, sf):
         "filename", F.col("metadata.sale_date").alias("sale_date"), F.col("metadata.year").alias("year"),
         F.col("metadata.sale_num_only").alias("sale_num_only"), F.col("kpis.TOTAL_VOLUME").alias("volume"),
         F.col("kpis.SNAPSHOT").alias("snapshot"), F.element_at("tables.sell_through", 3)["Value"].alias("rate"),
-        F.col("outlook.next_sale").alias("next_sale"), F.length("insights").cast("bigint").alias("insight_chars"),
+        F.col("outlook.next_sale").alias("next_sale"), "insights",
     )
 
 
@@ -81,8 +81,7 @@ QUERIES = {
     "stream_sale_kpis": (stream_sale_kpis, """
         select *, total_value / total_volume as avg_price from (
           select strftime(ts, '%Y-%m-%d') as window_start, event_type as sale_number, count(*) as lots,
-                 cast(sum(cast(user_id + 1 as decimal(18,4))) as double) as total_volume,
-                 cast(sum(cast(value as decimal(18,4))) as double) as total_value
+                 """ + total("user_id + 1") + """ as total_volume, """ + total("value") + """ as total_value
           from events group by 1, 2)"""),
     "report_documents": (report_documents, with_lots(_TEXTS + _AHEAD + _MOVERS + f"""
         , told as ({_INSIGHTS.replace(", lines as", "with lines as", 1)}),
@@ -91,7 +90,7 @@ QUERIES = {
         select 'harbour_' || replace(sale_number, '-', '_') || '.json' as filename,
                cast(coalesce(days.d, offer_days.d) as varchar) as sale_date, substr(sale_number, 1, 4) as year,
                cast(cast(split_part(sale_number, '-', 2) as integer) as varchar) as sale_num_only,
-               total_volume_text as volume, snapshot, sell_through_text as rate, next_sale, length(insights) as insight_chars
+               total_volume_text as volume, snapshot, sell_through_text as rate, next_sale, insights
         from texts join told using (sale_number) join forthcoming using (sale_number) left join days using (sale_number)
              left join offer_days using (sale_number)""", KPIS_SQL, MOVES_SQL)),
     "report_json_sink": (report_json_sink, with_lots(_TEXTS + """

@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gavelline.functions.text import clean_text, strip
+from gavelline.functions.text import clean_text, once, strip
 
 # Accepted date formats, tried in this order.  The pattern in front of each keeps texts of another
 # shape away from the parser, so that no row pays for a failed parse.
@@ -17,14 +17,26 @@ _FORMATS = [
     (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
 ]
 
-# The shapes accepted when none of the formats above fits.
+# Shapes of other texts once weekdays, times and ordinal endings are gone, separators are spaces and years have four
+# digits.  A month in digits comes first where both readings are days.
 _LOOSE_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4} \d{1,2} \d{1,2}$", "yyyy M d"),
+    (r"^\d{8}$", "yyyyMMdd"),
     (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
     (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
     (r"^[A-Za-z]{4,9} \d{1,2} \d{4}$", "MMMM d yyyy"),
     (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^\d{4} [A-Za-z]{4,9} \d{1,2}$", "yyyy MMMM d"),
+    (r"^\d{4} [A-Za-z]{3} \d{1,2}$", "yyyy MMM d"),
+    (r"^\d{1,2} \d{1,2} \d{4}$", "M d yyyy"),
+    (r"^\d{1,2} \d{1,2} \d{4}$", "d M yyyy"),
+    (r"^[A-Za-z]{4,9} \d{4}$", "MMMM yyyy"),
+    (r"^[A-Za-z]{3} \d{4}$", "MMM yyyy"),
 ]
+_WEEKDAY = r"(?i)\b(mon|tues?|wed(nes)?|thu(rs?)?|fri|sat(ur)?|sun)(day)?\b"
+_TIME = r"(?i)[T\s]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*([ap]m)?\s*(Z|[+-]\d{2}:?\d{2})?$"
+# Two-digit years of this century.
+_SHORT_YEAR_2000 = "([0-6][0-9]|7[0-5])"
 _ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?([+-]\d{2}:\d{2}|Z)?$"
 
 
@@ -32,6 +44,16 @@ def _guarded(text: Column, shape: str, pattern: str) -> Column:
     return F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)).cast("date"))
 
 
+def _tidy(t: Column) -> Column:
+    """Day, month and year with single spaces, as far as the text has them."""
+    for pattern, instead in (
+        (_TIME, ""), (_WEEKDAY, " "), (r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), (r"(?i)\bsept\b", "Sep"), (r"[,./\s-]+", " "),
+    ):
+        t = F.regexp_replace(t, pattern, instead)
+    head = r"^(\d{1,2} (?:\d{1,2}|[A-Za-z]{3,9})|[A-Za-z]{3,9} \d{1,2}) "
+    return F.regexp_replace(F.regexp_replace(F.trim(t), head + _SHORT_YEAR_2000 + "$", "$1 20$2"), head + r"(\d{2})$", "$1 19$2")
+
+
 def parse_date(c: Column) -> Column:
     """Text to date: noise is null, then the formats in order, then the loose shapes, else null."""
     t = strip(c)
@@ -40,8 +62,7 @@ def parse_date(c: Column) -> Column:
     day_month_time, *others = _FORMATS
     tries = [F.when(t.rlike(day_month_time[0]), F.try_to_timestamp(seconds, F.lit(day_month_time[1])).cast("date"))]
     tries += [_guarded(t, shape, pattern) for shape, pattern in others]
-    tidy = F.regexp_replace(F.regexp_replace(t, r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"[,\s]+", " ")
-    tries += [_guarded(tidy, shape, pattern) for shape, pattern in _LOOSE_FORMATS]
+    tries.append(once(_tidy(t), lambda x: F.coalesce(*[_guarded(x, shape, pattern) for shape, pattern in _LOOSE_FORMATS])))
     tries.append(F.when(t.rlike(_ISO_TIMESTAMP), F.substring(t, 1, 10).try_cast("date")))
     return F.when(clean_text(c).isNotNull(), F.coalesce(*tries))
 

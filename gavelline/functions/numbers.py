@@ -1,7 +1,5 @@
 """Numeric clean-up and exact sums."""
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,17 +35,38 @@ def no_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+# A double below 2^62 is the sum of whole numbers of these units, each small enough for a long to add up 2^36 of them.
+_GRID = 2.0**62
+_HIGH = 24  # bits of the lower part of the whole number
+_FIRST, _SECOND = 26, 27  # bits of the two parts of the fraction
+
+
 def exact_sum(c: Column) -> Column:
-    """Sum to four decimals that does not depend on the order of rows.
+    """Sum without loss, independent of the order of rows; NaN is skipped.
 
-    Values are added as whole ten-thousandths, in a high and a low part, so that neither part can overflow and no
-    decimal object is made per row.
+    Every value is split without rounding into four whole numbers that are added up as longs, and the sums are put together
+    once, at the end.  Only what does not fit is added as doubles: bits below 2^-53, infinite values and those from 2^62.
     """
-    units = F.rint(c * 10000).try_cast("bigint")
-    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
-    whole = high * F.lit(Decimal(1 << 20)) + low
-    return (whole * F.lit(Decimal("0.0001"))).cast("double")
+    value = no_nan(c)
+    fits = F.when(F.abs(value) < _GRID, value)
+    whole = fits.cast("bigint")  # towards 0, so that the fraction is exact
+    scaled = (fits - whole) * 2.0**_FIRST
+    first = scaled.cast("bigint")
+    rest = (scaled - first) * 2.0**_SECOND
+    second = rest.cast("bigint")
+    low_bits, first_bits, second_bits = ((1 << n) - 1 for n in (_HIGH, _FIRST, _SECOND))
+    sum_second = F.sum(second)
+    sum_first = F.sum(first) + F.shiftright(sum_second, _SECOND)
+    sum_low = F.sum(whole.bitwiseAND(F.lit(low_bits))) + F.shiftright(sum_first, _FIRST)
+    sum_high = F.sum(F.shiftright(whole, _HIGH)) + F.shiftright(sum_low, _HIGH)
+    units = sum_first.bitwiseAND(F.lit(first_bits)) * (1 << _SECOND) + sum_second.bitwiseAND(F.lit(second_bits))
+    # A negative sum is a whole number less a fraction, as a positive one is a whole number and a fraction.
+    short = F.when((sum_high < 0) & (units > 0), 1).otherwise(0)
+    units = units - F.lit(1 << (_FIRST + _SECOND)) * short
+    integer = sum_high.cast("double") * float(1 << _HIGH) + (sum_low.bitwiseAND(F.lit(low_bits)) + short).cast("double")
+    inside = integer + (units.cast("double") + F.sum(rest - second)) / 2.0 ** (_FIRST + _SECOND)
+    beyond = F.sum(F.when(F.abs(value) >= _GRID, value))
+    return F.when(beyond.isNull(), inside).otherwise(beyond + F.coalesce(inside, F.lit(0.0)))
 
 
 def exact_mean(c: Column) -> Column:

@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavelline.functions.dates import parse_date_or_serial
+from gavelline.functions.dates import parse_date
 
 
 def licence_header_clean(df: DataFrame) -> DataFrame:
@@ -15,9 +15,9 @@ def licence_header_clean(df: DataFrame) -> DataFrame:
 
 
 def licence_dates(df: DataFrame) -> DataFrame:
-    """Start and end of a licence as dates; texts that are no date become null."""
+    """Start and end of a licence as dates; texts that are no date, bare numbers among them, become null."""
     dates = [c for c in ("start_date_license", "end_date_license") if c in df.columns]
-    return df.withColumns({c: parse_date_or_serial(F.col(c).cast("string")) for c in dates})
+    return df.withColumns({c: parse_date(F.col(c).cast("string")) for c in dates})
 
 
 def batch_append_history(df: DataFrame, when: datetime | None = None, batch: str | None = None) -> DataFrame:

@@ -1,22 +1,28 @@
 """Views of one market: price distribution, grades, brokers and buyers."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavelline.constants import MAX_BINS, PLACEHOLDER, TOP_BUYERS
 from gavelline.functions.numbers import exact_mean, exact_sum
+from gavelline.session import cut
 
 METRICS = {"value": "value_usd", "volume": "total_weight_kgs"}
 
 
-def within(prepared: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
-    """Rows inside a price interval; an open end does not filter."""
-    df = prepared
+def _inside(low: float | None, high: float | None) -> Column:
+    """Whether a price is inside an interval; an open end lets everything in."""
+    test = F.lit(True)
     if low is not None:
-        df = df.filter(F.col("price") >= low)
+        test = test & F.coalesce(F.col("price") >= low, F.lit(False))
     if high is not None:
-        df = df.filter(F.col("price") <= high)
-    return df
+        test = test & F.coalesce(F.col("price") <= high, F.lit(False))
+    return test
+
+
+def within(prepared: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
+    """Rows inside a price interval; an open end does not filter."""
+    return prepared.filter(_inside(low, high))
 
 
 def bin_steps(bounds: DataFrame, max_bins: int = MAX_BINS) -> DataFrame:
@@ -38,16 +44,16 @@ def bin_steps(bounds: DataFrame, max_bins: int = MAX_BINS) -> DataFrame:
 
 
 def price_histogram(prepared: DataFrame, max_bins: int = MAX_BINS) -> DataFrame:
-    """Lots per price bin and sale, bins as wide as that sale needs."""
-    counts = prepared.groupBy("sale_number", "price").agg(F.count("*").alias("n"))
-    bounds = counts.groupBy("sale_number").agg(
-        F.min("price").alias("low"), F.max("price").alias("high"), F.sum("n").alias("all_lots")
-    )
-    steps = bin_steps(bounds, max_bins).select("sale_number", "step", "start", "stop")
+    """Lots per price bin and sale, bins as wide as that sale needs.
+
+    The bounds, one row per sale, are written first, so that the lots are counted where they are read.
+    """
+    bounds = prepared.groupBy("sale_number").agg(F.min("price").alias("low"), F.max("price").alias("high"))
+    steps = cut(bin_steps(bounds, max_bins).select("sale_number", "step", "start", "stop"))
     inside = F.least(F.col("price"), F.col("stop") - F.col("step"))
     place = F.floor((inside - F.col("start")) / F.col("step") + F.lit(1e-14))
-    binned = counts.join(steps, "sale_number").withColumn("bin_start", F.col("start") + F.col("step") * place)
-    return binned.groupBy("sale_number", "bin_start", "step").agg(F.sum("n").alias("lots"))
+    binned = prepared.join(steps, "sale_number").withColumn("bin_start", F.col("start") + F.col("step") * place)
+    return binned.groupBy("sale_number", "bin_start", "step").agg(F.count(F.lit(1)).alias("lots"))
 
 
 def grade_performance(prepared: DataFrame, low=None, high=None) -> DataFrame:
@@ -95,14 +101,26 @@ def broker_lookup(prepared: DataFrame, previous: DataFrame) -> DataFrame:
 
 def grade_layer(prepared: DataFrame, previous: DataFrame, low=None, high=None) -> DataFrame:
     """Current and previous figures of all grades on one axis; only the current ones obey the interval."""
-    current = grade_performance(prepared, low, high)
-    return current.join(prev_grade_mean(prepared, previous), ["sale_number", "grade"], "full")
+    shown, price = _inside(low, high), F.col("price")
+    figures = cut(prepared.groupBy("sale_number", "grade").agg(
+        F.count_if(shown).alias("shown"), exact_mean(F.when(shown, price)).alias("avg_price"),
+        exact_sum(F.when(shown, F.col("total_weight_kgs"))).alias("volume"), exact_mean(price).alias("prev_avg_price"),
+    ))
+    current = figures.filter("shown > 0").select("sale_number", "grade", "avg_price", "volume")
+    earlier = _as_previous(figures.select("sale_number", "grade", "prev_avg_price"), previous)
+    return current.join(earlier, ["sale_number", "grade"], "full")
 
 
 def broker_layer(prepared: DataFrame, previous: DataFrame, low=None, high=None) -> DataFrame:
     """Current and previous figures of all brokers on one axis; only the current ones obey the interval."""
-    current = broker_performance(prepared, low, high)
-    return current.join(prev_broker_total(prepared, previous), ["sale_number", "broker"], "full")
+    shown, value = _inside(low, high), F.col("value_usd")
+    figures = cut(prepared.groupBy("sale_number", "broker").agg(
+        F.count_if(shown).alias("shown"), exact_sum(F.when(shown, value)).alias("total_value"),
+        exact_mean(F.when(shown, F.col("price"))).alias("avg_price"), exact_sum(value).alias("prev_total_value"),
+    ))
+    current = figures.filter("shown > 0").select("sale_number", "broker", "total_value", "avg_price")
+    earlier = _as_previous(figures.select("sale_number", "broker", "prev_total_value"), previous)
+    return current.join(earlier, ["sale_number", "broker"], "full")
 
 
 def buyer_totals(prepared: DataFrame, metric: str = "value") -> DataFrame:

@@ -10,6 +10,7 @@ from gavelline.constants import (
 from gavelline.functions.numbers import exact_mean, exact_sum
 from gavelline.functions.text import fixed
 from gavelline.operators.sequence import previous_sales
+from gavelline.session import cut
 
 
 def ohlc(prepared: DataFrame) -> DataFrame:
@@ -28,9 +29,14 @@ def movement_join(prepared: DataFrame) -> DataFrame:
     The previous price comes from a window over the aggregated rows of one mark and grade (at most one row per sale)
     instead of a self-join; it counts only if it belongs to the directly preceding sale.
     """
-    sales = prepared.select("sale_number").distinct()
+    return joined_movements(ohlc(prepared))
+
+
+def joined_movements(bars: DataFrame) -> DataFrame:
+    """Movements from the bars of all sales."""
+    sales = bars.select("sale_number").distinct()
     order = Window.partitionBy("mark", "grade").orderBy("sale_number")
-    rows = ohlc(prepared).withColumns({
+    rows = bars.withColumns({
         "open": F.lag("close").over(order), "open_sale": F.lag("sale_number").over(order),
     })
     rows = rows.filter("open_sale is not null").join(previous_sales(sales, sales), "sale_number")
@@ -52,16 +58,16 @@ def movement_metrics(moves: DataFrame) -> DataFrame:
 def movement_marks(moves: DataFrame) -> DataFrame:
     """Marks to choose from per sale, one row each; the first by name is the default choice."""
     marks = moves.filter(F.col("mark") != PLACEHOLDER).select("sale_number", "mark").distinct()
-    first = marks.groupBy("sale_number").agg(F.min("mark").alias("first_mark"))
-    return marks.join(first, "sale_number").select("sale_number", "mark", (F.col("mark") == F.col("first_mark")).alias("is_default"))
+    first = F.min("mark").over(Window.partitionBy("sale_number"))
+    return marks.select("sale_number", "mark", (F.col("mark") == first).alias("is_default"))
 
 
 def movement_by_mark(moves: DataFrame, mark: str | None = None) -> DataFrame:
     """Movements of one mark; without a choice, of the first mark of each sale."""
     if mark is not None:
         return moves.filter(F.col("mark") == mark)
-    chosen = movement_marks(moves).filter("is_default").select("sale_number", "mark")
-    return moves.join(chosen, ["sale_number", "mark"], "left_semi")
+    named = F.min(F.when(F.col("mark") != PLACEHOLDER, F.col("mark"))).over(Window.partitionBy("sale_number"))
+    return moves.withColumn("_first", named).filter("mark = _first").drop("_first")
 
 
 def top_movers(metrics: DataFrame) -> DataFrame:
@@ -79,8 +85,12 @@ def top_movers(metrics: DataFrame) -> DataFrame:
 
 
 def insights_text(prepared: DataFrame, weeks: DataFrame) -> DataFrame:
-    """The written insights of every week, fixed sentences where there is nothing to tell."""
-    moves = movement_join(prepared)
+    """The written insights of every week, fixed sentences where there is nothing to tell.
+
+    The bars are written first; all that is told derives from them.
+    """
+    bars = cut(ohlc(prepared))
+    moves = cut(joined_movements(bars))
     movers = top_movers(movement_metrics(moves))
     rising = F.col("direction") == "riser"
     line = F.concat(
@@ -98,9 +108,9 @@ def insights_text(prepared: DataFrame, weeks: DataFrame) -> DataFrame:
     told = said.select("sale_number", F.concat(
         F.lit(RISERS_HEADING + "\n"), F.col("up"), F.lit("\n\n\n" + FALLERS_HEADING + "\n"), F.col("down")
     ).alias("told"))
-    sold = prepared.select("sale_number", F.lit(True).alias("sold")).distinct()
+    sold = bars.select("sale_number", F.lit(True).alias("sold")).distinct()
     compared = moves.select("sale_number", F.lit(True).alias("compared")).distinct()
-    earlier = previous_sales(weeks, prepared.select("sale_number").distinct())
+    earlier = previous_sales(weeks, bars)
     df = earlier.join(sold, "sale_number", "left").join(compared, "sale_number", "left").join(told, "sale_number", "left")
     text = (
         F.when(F.col("sold").isNull(), F.lit(NO_CURRENT_DATA))

@@ -13,6 +13,7 @@ from gavelline.constants import (
     HEADER_KEYWORDS, HEADER_MIN_HITS, HEADER_SEARCH_ROWS, LOT_ALIASES, MISSING_CELLS,
 )
 from gavelline.functions.text import strip
+from gavelline.session import cut
 
 _SHEET = ["file", "sheet"]
 
@@ -92,7 +93,8 @@ def alias_map(grid: DataFrame, aliases: dict | None = None, keywords: list[str]
     sheet that lacks the winning column has nulls there.  Targets nobody names are null, other columns are dropped.
     """
     aliases = aliases or LOT_ALIASES
-    headers = with_header(grid, keywords)
+    grid = cut(grid)  # files are parsed once
+    headers = cut(with_header(grid, keywords))
     matched = _matched_headers(headers, aliases)
     filled = _filled_names(grid, headers, matched)
     usable = matched.join(filled, ["file", "name"], "left")

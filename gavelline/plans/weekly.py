@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelline.operators import kpis, lots, market, movements, sequence
+from gavelline.session import cut
 from gavelline.sources.store import read_store
 
 
@@ -15,11 +16,11 @@ def arrival(df: DataFrame) -> Column:
 def report_tables(sales: DataFrame, offers: DataFrame, location: str) -> dict[str, DataFrame]:
     """The parts of all reports as tables with a sale_number column, from stored sales and offers."""
     raw_sales, raw_offers = lots.stored_lots(sales), lots.stored_lots(offers)
-    sold, offered = lots.prepare_sales(raw_sales), lots.prepare_offers(raw_offers)
+    sold, offered = cut(lots.prepare_sales(raw_sales)), cut(lots.prepare_offers(raw_offers))
     figures = kpis.weekly_kpis(raw_sales, raw_offers)
     weeks = figures.select("sale_number")
     previous = sequence.previous_sales(weeks, sold)
-    moves = movements.movement_metrics(movements.movement_join(sold))
+    moves = cut(movements.movement_metrics(movements.movement_join(sold)))
     dates = sequence.sale_dates(raw_sales, offered, arrival(raw_sales))
     return {
         "documents": documents(figures, dates, movements.insights_text(sold, weeks), kpis.outlook(raw_sales, raw_offers, location), location),
