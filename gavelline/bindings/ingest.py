@@ -110,13 +110,16 @@ def bytes_numeric(spark, sf):
     return df.select("c_custkey", numbers.bytes_number(F.col("blob")).alias("number"))
 
 
-_DATE_STYLES = ["dd/MM/yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "dd-MMM-yyyy", "dd/MM/yyyy", "dd.MM.yyyy", "d MMMM yyyy"]
+_DATE_STYLES = [
+    "dd/MM/yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "dd-MMM-yyyy", "dd/MM/yyyy", "dd.MM.yyyy", "d MMMM yyyy", "dd-MMM-yy", "yyyyMMdd",
+    "EEEE d MMMM yyyy", "yyyy.MM.dd", "MMM d, yyyy", "MM/dd/yy",
+]
 
 
 def date_parse(spark, sf):
     """Order dates written in every accepted format, with noise and garbage between them."""
-    k, d = F.col("o_orderkey") % 9, F.col("o_orderdate")
-    text = F.when(k == 7, F.lit(" nil ")).when(k == 8, F.lit("13/25/2025"))
+    k, d = F.col("o_orderkey") % 16, F.col("o_orderdate")
+    text = F.when(k == 13, F.lit(" nil ")).when(k == 14, F.lit("13/25/2025")).when(k == 15, F.lit("45902"))
     for i, style in enumerate(_DATE_STYLES):
         tail = {0: " 12:49:12:300", 1: " 08:05:09"}.get(i, "")
         text = text.when(k == i, F.concat(F.date_format(d, style), F.lit(tail)))
@@ -311,9 +314,10 @@ ledger as (
 def _licences(spark, sf):
     s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("s_suppkey") % 900).cast("int"))
-    k = F.col("s_suppkey") % 4
+    k = F.col("s_suppkey") % 6
     text = (
-        F.when(k == 0, F.date_format(day, "yyyy-MM-dd")).when(k == 1, F.date_format(day, "d MMMM yyyy"))
+        F.when(k == 4, F.date_format(day, "yyyyMMdd")).when(k == 5, F.lit("45902"))
+        .when(k == 0, F.date_format(day, "yyyy-MM-dd")).when(k == 1, F.date_format(day, "d MMMM yyyy"))
         .when(k == 2, F.date_format(day, "dd-MMM-yyyy")).otherwise(F.lit("soon"))
     )
     df = s.select(F.col("s_suppkey").cast("string"), F.col("s_name"), text, text, F.col("n_name"))
@@ -406,7 +410,7 @@ QUERIES = {
         from customer"""),
     "bytes_numeric": (bytes_numeric, "select c_custkey, c_acctbal as number from customer"),
     "date_parse": (date_parse, """
-        select o_orderkey, case when o_orderkey % 9 < 7 then cast(cast(o_orderdate as date) as varchar) end as day
+        select o_orderkey, case when o_orderkey % 16 < 13 then cast(cast(o_orderdate as date) as varchar) end as day
         from orders"""),
     "excel_serial_date": (excel_serial_date, "select o_orderkey, cast(cast(o_orderdate as date) as varchar) as day from orders"),
     "header_detect": (header_detect, _SHEETS + """
@@ -467,8 +471,8 @@ QUERIES = {
         from supplier join nation on s_nationkey = n_nationkey"""),
     "licence_dates": (licence_dates, """
         select cast(s_suppkey as varchar) as certificateholder_id,
-               case when s_suppkey % 4 < 3 then cast(date '2020-01-01' + cast(s_suppkey % 900 as integer) as varchar) end as start_date_license,
-               case when s_suppkey % 4 < 3 then cast(date '2020-01-01' + cast(s_suppkey % 900 as integer) as varchar) end as end_date_license
+               case when s_suppkey % 6 in (0, 1, 2, 4) then cast(date '2020-01-01' + cast(s_suppkey % 900 as integer) as varchar) end as start_date_license,
+               case when s_suppkey % 6 in (0, 1, 2, 4) then cast(date '2020-01-01' + cast(s_suppkey % 900 as integer) as varchar) end as end_date_license
         from supplier"""),
     "batch_append_history": (batch_append_history, """
         select cast(s_suppkey as varchar) as certificateholder_id, s_name as certificateholder_name, n_name as country,

@@ -6,13 +6,19 @@ from gavelline.bindings.base import KPIS_SQL, MOVES_SQL, raw_offers, raw_sales,
 from gavelline.bindings.ingest import _APPEND
 from gavelline.bindings.sales import _AHEAD, _INSIGHTS, _MOVERS, _TEXTS
 from gavelline.plans import weekly
+from gavelline.plans.library import build_library
 from gavelline.session import run_folder
+from gavelline.sources.store import read_store
 from gavelline.streaming import kpis, lots, news
 
 
-def _stream(spark, sf, name):
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+def _stream(spark, sf, name, part):
+    """The rows of a table as a stream; those with a smaller value of `part` arrive first, a file per micro-batch."""
+    df = table(spark, sf, name).withColumn("part", part)
+    landed = run_folder(spark, name)
+    for row in df.select("part").distinct().orderBy("part").collect():  # two or three values
+        df.filter(F.col("part").eqNullSafe(row["part"])).drop("part").coalesce(1).write.mode("append").parquet(landed)
+    return spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(landed)
 
 
 def stream_lot_ingest(spark, sf):
@@ -23,29 +29,32 @@ def stream_lot_ingest(spark, sf):
     line = F.nullif("l_linenumber", F.lit(7))
     old = table(spark, sf, "lineitem").withColumn("l_linenumber", line).select(*columns).filter("l_returnflag = 'A'")
     old.withColumn("batch", F.lit("old")).write.partitionBy("batch").parquet(f"{root}/lots")
-    new = _stream(spark, sf, "lineitem").withColumn("l_linenumber", line).select(*columns).filter("l_returnflag <> 'A'")
+    new = _stream(spark, sf, "lineitem", F.col("l_returnflag")).withColumn("l_linenumber", line).select(*columns).filter("l_returnflag <> 'A'")
     lots.stream_lot_ingest(new, root, "lots", key, order, run_folder(spark, "offsets"), by=None).awaitTermination()
     df = lots.read_table(spark, new.schema, f"{root}/lots").filter("batch <> 'old'")
     return df.select("l_orderkey", F.coalesce("l_linenumber", F.lit(-1)).alias("l_linenumber"), "l_partkey", "l_suppkey", "l_quantity")
 
 
 def stream_news_dedup(spark, sf):
-    """Canonical links of the pages stream, each once."""
-    out = run_folder(spark, "links")
-    pages = _stream(spark, sf, "pages").select(F.regexp_replace("url", "^http:", "https:").alias("link"))
-    query = news.stream_first_links(pages).select("clean").writeStream.format("parquet")
-    query.option("path", out).option("checkpointLocation", run_folder(spark, "offsets")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("clean string").parquet(out)
+    """Pages arrive in three batches; one whose canonical link starts a stored link is known."""
+    root = run_folder(spark, "articles")
+    third = table(spark, sf, "pages").agg(F.max("page_id") / 3).scalar()
+    pages = _stream(spark, sf, "pages", F.floor(F.col("page_id") / third)).select(
+        F.col("page_id").alias("seq"), F.lit("x").alias("headline"), F.lit("").alias("snippet"), F.lit("Wire").alias("source"),
+        F.regexp_replace("url", "^http:", "https:").alias("link"), F.lit("").alias("article_date"),
+    )
+    news.stream_news_dedup(pages, root, run_folder(spark, "offsets"), fuzzy=False).awaitTermination()
+    return read_store(spark, root, "articles").select(F.lower(F.regexp_replace("link", "[?#].*$", "")).alias("clean"))
 
 
 def stream_sale_kpis(spark, sf):
     """Events as sales: one sale per event type, a window per day."""
     out = run_folder(spark, "totals")
-    events = _stream(spark, sf, "events").select(
+    events = _stream(spark, sf, "events", F.col("event_id") % 3).select(
         F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("sale_number"),
         (F.col("user_id") + 1).cast("double").alias("total_weight_kgs"), F.col("value").alias("value_usd"),
     )
-    kpis.stream_sale_kpis(events, out, run_folder(spark, "offsets"), "ts", "1 day", "2 days").awaitTermination()
+    kpis.stream_sale_kpis(events, out, run_folder(spark, "offsets"), "ts", "1 day").awaitTermination()
     schema = "window_start timestamp, sale_number string, lots bigint, total_volume double, total_value double, avg_price double, update bigint"
     df = kpis.latest_totals(spark.read.schema(schema).parquet(out))
     return df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
@@ -63,21 +72,39 @@ def report_documents(spark, sf):
 
 
 def report_json_sink(spark, sf):
-    """Reports written as JSON, then the row table of the sales read back."""
+    """All parts of all reports written as JSON; index, catalogue and two row tables read back."""
     out = run_folder(spark, "reports")
     tables = weekly.report_tables(raw_sales(spark, sf, "mark", "buyer"), raw_offers(spark, sf, "mark"), "Harbour")
-    weekly.report_json_sink({k: tables[k] for k in ("documents", "source_movement_data")}, out)
+    weekly.report_json_sink(tables, out, "Harbour")
+    listed = build_library(spark, out, "Weekly Desk").select(F.substring_index("report_link", "/", -1).alias("filename"), "report_link")
     index = spark.read.schema("sale_number string, sale_num_only string, sale_date string, year string, filename string, location string, snapshot string")
     moves = spark.read.schema("mark string, grade string, sale_number string, change_pct double").json(f"{out}/source_movement_data")
     moves = moves.groupBy("sale_number").agg(F.count("*").alias("moves"), F.max("change_pct").alias("best"))
-    return index.json(f"{out}/index").join(moves, "sale_number", "left").select("sale_number", "filename", "snapshot", F.coalesce("moves", F.lit(0)).alias("moves"), "best")
+    lots = spark.read.schema("sale_number string").json(f"{out}/raw_sales_data").groupBy("sale_number").agg(F.count("*").alias("lots"))
+    df = index.json(f"{out}/harbour_index.json").join(listed, "filename").join(moves, "sale_number", "left").join(lots, "sale_number", "left")
+    return df.select(
+        "sale_number", "filename", "report_link", "snapshot", F.coalesce("moves", F.lit(0)).alias("moves"), "best",
+        F.coalesce("lots", F.lit(0)).alias("lots"),
+    )
 
 
 QUERIES = {
     "stream_lot_ingest": (stream_lot_ingest, _APPEND + """
         select l_orderkey, coalesce(line, -1) as l_linenumber, l_partkey, l_suppkey, l_quantity from added"""),
     "stream_news_dedup": (stream_news_dedup, """
-        select distinct lower(regexp_replace(regexp_replace(url, '^http:', 'https:'), '[?#].*$', '')) as clean from pages"""),
+        with recursive keyed as (
+          select page_id as seq, regexp_replace(url, '^http:', 'https:') as link, lower(regexp_replace(link, '[?#].*$', '')) as clean
+          from pages),
+        new as (
+          select k.seq, any_value(k.clean) as clean, row_number() over (order by k.seq) as turn,
+                 coalesce(list(o.seq) filter (o.seq is not null), []) as others
+          from keyed k left join keyed o on o.seq <> k.seq and starts_with(lower(o.link), k.clean) group by k.seq),
+        steps as (
+          select cast(0 as bigint) as turn, cast([] as bigint[]) as kept
+          union all
+          select n.turn, case when list_has_any(s.kept, n.others) then s.kept else list_append(s.kept, n.seq) end
+          from steps s join new n on n.turn = s.turn + 1)
+        select clean from new join (select unnest(kept) as seq from (select kept from steps order by turn desc limit 1)) using (seq)"""),
     "stream_sale_kpis": (stream_sale_kpis, """
         select *, total_value / total_volume as avg_price from (
           select strftime(ts, '%Y-%m-%d') as window_start, event_type as sale_number, count(*) as lots,
@@ -94,8 +121,10 @@ QUERIES = {
         from texts join told using (sale_number) join forthcoming using (sale_number) left join days using (sale_number)
              left join offer_days using (sale_number)""", KPIS_SQL, MOVES_SQL)),
     "report_json_sink": (report_json_sink, with_lots(_TEXTS + """
-        , counted as (select sale_number, count(*) as moves, max(change_pct) as best from moves group by 1)
-        select sale_number, 'harbour_' || replace(sale_number, '-', '_') || '.json' as filename, snapshot,
-               coalesce(counted.moves, 0) as moves, best
-        from texts left join counted using (sale_number)""", KPIS_SQL, MOVES_SQL)),
+        , counted as (select sale_number, count(*) as moves, max(change_pct) as best from moves group by 1),
+        sold_lots as (select sale_number, count(*) as lots from sales group by 1)
+        select sale_number, 'harbour_' || replace(sale_number, '-', '_') || '.json' as filename,
+               'report_viewer.html?data=report_data/harbour_' || replace(sale_number, '-', '_') || '.json' as report_link, snapshot,
+               coalesce(counted.moves, 0) as moves, best, coalesce(sold_lots.lots, 0) as lots
+        from texts left join counted using (sale_number) left join sold_lots using (sale_number)""", KPIS_SQL, MOVES_SQL)),
 }

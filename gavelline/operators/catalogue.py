@@ -9,7 +9,9 @@ from gavelline.schemas import INDEX_ENTRY
 
 
 def index_entries(files: DataFrame) -> DataFrame:
-    """Entries of index files given as (path, body); a file that does not parse is skipped."""
+    """Entries of index files given as (path, body), an array or an entry per line; a file that does not parse is skipped."""
+    lines = F.concat(F.lit("["), F.regexp_replace(F.trim(F.regexp_replace("body", "\\s+$", "")), "\n", ","), F.lit("]"))
+    files = files.withColumn("body", F.when(F.col("body").rlike("^\\s*\\["), F.col("body")).otherwise(lines))
     row = ", ".join(f"{n}: {t}" for n, t in (c.split() for c in INDEX_ENTRY.split(", ")))
     parsed = F.from_json("body", f"array<struct<{row}>>", {"mode": "PERMISSIVE"})
     return files.select("path", F.posexplode(parsed).alias("pos", "entry")).select("path", "pos", "entry.*")

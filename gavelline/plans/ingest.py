@@ -13,7 +13,7 @@ from gavelline.operators.ingest import (
 from gavelline.operators.lots import split_lots
 from gavelline.operators.sheets import alias_map
 from gavelline.session import cut
-from gavelline.sources.files import WHOLE_FILE_BYTES, list_files, read_grid
+from gavelline.sources.files import is_delimited, list_files, read_grid
 from gavelline.sources.store import known_keys, read_store, write_batch
 
 LEDGER_KEY = ["file_identifier", "data_type"]
@@ -43,8 +43,10 @@ def store_lots(grid: DataFrame, files: DataFrame, root: str, location: str, batc
         write_batch(fresh.drop("arrival"), root, name, batch)
     added = [read_store(spark, root, n, only=batch) for n in ("auction_offers", "auction_sales")]
     added = [df.select(F.col("source_file_identifier").alias("file_identifier")) for df in added]
-    readable = landed.select("file", F.lit(True).alias("readable")).distinct()
-    seen = files.join(readable, "file", "left").fillna(False, ["readable"])
+    found = landed.select("file", F.lit(True).alias("found")).distinct()
+    # summaries hold no lots and are not read
+    readable = F.coalesce("found", F.lit(False)) | ((F.col("data_type") == SUMMARY) & is_delimited(F.col("file")))
+    seen = files.join(found, "file", "left").withColumn("readable", readable).drop("found")
     entries = ingest_counts(seen, added[0].union(added[1])).withColumn("processed_timestamp", stamp)
     write_batch(entries, root, "processing_log", batch, by=None)
     return read_store(spark, root, "processing_log", only=batch)
@@ -53,16 +55,15 @@ def store_lots(grid: DataFrame, files: DataFrame, root: str, location: str, batc
 def ingest_files(files: DataFrame, root: str, location: str, batch: str, when: datetime) -> DataFrame:
     """Read listed files that are not in the ledger as a success; returns their ledger entries.
 
-    Average and summary sheets hold no lots; they are logged without being read.
+    Average and summary sheets hold no lots; they are logged without being read.  Workbooks and other files that are no
+    delimited text are logged as a failure.
     """
     spark = files.sparkSession
     todo = files.filter(F.col("data_type").isin(OFFER, SALE, SUMMARY))
     todo = cut(incremental_skip(todo, ledger(spark, root, without=batch), LEDGER_KEY))
-    # paths and sizes only: the driver has listed these files anyway
-    lots = todo.filter((F.col("data_type") != SUMMARY) & (F.col("length") > 0)).select("path", "length").collect()
-    small = [r["path"] for r in lots if r["length"] <= WHOLE_FILE_BYTES]
-    large = [r["path"] for r in lots if r["length"] > WHOLE_FILE_BYTES]
-    grid = read_grid(spark, small, large)
+    # paths of new files only: the driver has listed them anyway
+    lots = todo.filter((F.col("data_type") != SUMMARY) & (F.col("length") > 0) & is_delimited(F.col("file")))
+    grid = read_grid(spark, [r["path"] for r in lots.select("path").collect()])
     return store_lots(grid, todo.select("file", "file_identifier", "data_type"), root, location, batch, when)
 
 

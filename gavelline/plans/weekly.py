@@ -85,16 +85,22 @@ def report_index(docs: DataFrame) -> DataFrame:
     ).orderBy(F.desc("sale_number"))
 
 
-def report_json_sink(tables: dict[str, DataFrame], out: str) -> None:
-    """Write the reports as JSON: documents by file name, row tables by sale, and the index.
+def with_manifest(docs: DataFrame, names: list[str]) -> DataFrame:
+    """Documents with data_sources: for each row table of the report its name and the folder of the sale's rows."""
+    folders = [F.struct(F.lit(n).alias("name"), F.concat(F.lit(f"{n}/sale_number="), "sale_number").alias("folder")) for n in names]
+    return docs.withColumn("data_sources", F.array(*folders))
+
+
+def report_json_sink(tables: dict[str, DataFrame], out: str, location: str) -> None:
+    """Write the reports as JSON: documents by file name, row tables by sale, and the index that the catalogue reads.
 
     Nulls and NaN leave no field.  A sale with very many rows is written by several tasks.
     """
-    docs = tables["documents"]
+    docs = with_manifest(tables["documents"], sorted(set(tables) - {"documents"}))
     docs.drop("sale_number").write.mode("overwrite").partitionBy("filename").json(f"{out}/documents")
     spark = docs.sparkSession
     written = spark.read.schema(docs.schema).json(f"{out}/documents").withColumn("sale_number", F.col("metadata.sale_number"))
-    report_index(written).write.mode("overwrite").json(f"{out}/index")
+    report_index(written).write.mode("overwrite").json(f"{out}/{location.lower()}_index.json")
     for name, df in tables.items():
         if name != "documents":
             df.hint("rebalance", "sale_number").write.mode("overwrite").partitionBy("sale_number").json(f"{out}/{name}")
@@ -103,4 +109,4 @@ def report_json_sink(tables: dict[str, DataFrame], out: str) -> None:
 def build_reports(spark: SparkSession, root: str, out: str, location: str) -> None:
     """Reports of all sales in a lot store."""
     sales, offers = (read_store(spark, root, n) for n in ("auction_sales", "auction_offers"))
-    report_json_sink(report_tables(sales, offers, location), out)
+    report_json_sink(report_tables(sales, offers, location), out, location)

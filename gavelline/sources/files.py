@@ -1,15 +1,19 @@
 """Folders of delimited lot sheets."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelline.constants import COMMENTARY, OFFER, SALE, SUMMARY
 from gavelline.functions.text import strip
 from gavelline.schemas import GRID
 
-# Up to this size a file is split into records by one task, so that quoted line breaks stay inside a record.
-# Larger files are read line by line in blocks.
-WHOLE_FILE_BYTES = 32 * 1024 * 1024
+# Files that are no delimited text; they are listed but not read.
+_BINARY = r"(?i)\.(xlsx?|xlsm|docx?|pdf)$"
+
+
+def is_delimited(name: Column) -> Column:
+    """Whether a file can be read as delimited text."""
+    return ~name.rlike(_BINARY)
 
 
 def file_type(name: Column) -> Column:
@@ -89,31 +93,12 @@ def whole_files(texts: DataFrame) -> DataFrame:
     return _as_grid(texts.select("file", F.posexplode(lines).alias("row_pos", "line")))
 
 
-def block_lines(spark: SparkSession, paths: list[str], named_by_folder: bool = False) -> DataFrame:
-    """Grid of large files, read by blocks; a record is a line.
-
-    row_pos is the offset of the block plus the line number inside it: it grows down the file without a pass over the
-    blocks before, and the first block counts 0, 1, 2, ... like a file that is read whole.  Lines are numbered per block,
-    so no file meets in one task.
-    """
-    lines = spark.read.text(paths).select("value", _file_name(named_by_folder), "_metadata.file_block_start")
-    lines = lines.filter(strip(F.col("value")) != "").withColumn("seen", F.monotonically_increasing_id())
-    in_block = Window.partitionBy("file", "file_block_start").orderBy("seen")
-    position = F.col("file_block_start") + F.row_number().over(in_block) - 1
-    return _as_grid(lines.select("file", position.alias("row_pos"), F.regexp_replace("value", r"\r$", "").alias("line")))
-
-
-def read_grid(spark: SparkSession, small: list[str], large: list[str] = (), named_by_folder: bool = False) -> DataFrame:
+def read_grid(spark: SparkSession, paths: list[str], named_by_folder: bool = False) -> DataFrame:
     """Records of delimited files as (file, sheet, row_pos, cells); blank lines do not count.
 
-    A file is known by its own name, or by the folder `file=<name>` it lies in.
+    A file is split into records by one task whatever its size, so that quoted line breaks stay inside a record; many files
+    are read at once.  A file is known by its own name, or by the folder `file=<name>` it lies in.
     """
-    grids = []
-    if small:
-        texts = spark.read.text(list(small), wholetext=True).select("value", _file_name(named_by_folder))
-        grids.append(whole_files(texts))
-    if large:
-        grids.append(block_lines(spark, list(large), named_by_folder))
-    if not grids:
+    if not paths:
         return spark.createDataFrame([], GRID)
-    return grids[0] if len(grids) == 1 else grids[0].union(grids[1])
+    return whole_files(spark.read.text(list(paths), wholetext=True).select("value", _file_name(named_by_folder)))

@@ -4,7 +4,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelline.schemas import ARTICLES, AUCTION_OFFERS, AUCTION_SALES, CERTIFICATION_HISTORY, PROCESSING_LOG
+from gavelline.schemas import (
+    ARTICLES, AUCTION_OFFERS, AUCTION_SALES, CERTIFICATION_HISTORY, PROCESSING_LOG, REPORTS, RESULTS,
+)
 
 SCHEMAS = {
     "auction_offers": AUCTION_OFFERS,
@@ -12,6 +14,8 @@ SCHEMAS = {
     "processing_log": PROCESSING_LOG,
     "articles": ARTICLES,
     "certification_history": CERTIFICATION_HISTORY,
+    "reports": REPORTS,
+    "results": RESULTS,
 }
 
 

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 from gavelline.functions.numbers import exact_sum, ratio
 
 
-def sale_totals(sales: DataFrame, time: str, width: str, delay: str) -> DataFrame:
-    """Volume, value and average price per sale and time window of prepared sales; rows later than the delay are left out."""
+def sale_totals(sales: DataFrame, time: str, width: str) -> DataFrame:
+    """Volume, value and average price per sale and time window of prepared sales.
+
+    There is no watermark, so late rows correct their window; the state is one row per window and sale, as the result is.
+    """
     weight, value = F.col("total_weight_kgs"), F.col("value_usd")
-    totals = sales.withWatermark(time, delay).groupBy(F.window(time, width), "sale_number").agg(
+    totals = sales.groupBy(F.window(time, width), "sale_number").agg(
         F.count("*").alias("lots"), exact_sum(weight).alias("total_volume"), exact_sum(value).alias("total_value")
     )
     return totals.select(
@@ -18,13 +21,13 @@ def sale_totals(sales: DataFrame, time: str, width: str, delay: str) -> DataFram
     )
 
 
-def stream_sale_kpis(sales: DataFrame, out: str, checkpoint: str, time: str, width: str, delay: str):
+def stream_sale_kpis(sales: DataFrame, out: str, checkpoint: str, time: str, width: str):
     """Write every update of the running totals; a batch that runs again replaces its own updates."""
 
     def store(batch: DataFrame, number: int):
         batch.write.mode("overwrite").parquet(f"{out}/update={number}")
 
-    totals = sale_totals(sales, time, width, delay)
+    totals = sale_totals(sales, time, width)
     writer = totals.writeStream.outputMode("update").foreachBatch(store)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

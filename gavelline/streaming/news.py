@@ -6,12 +6,12 @@ from gavelline.operators.dedup import clean_key
 from gavelline.plans.news import update_news
 
 
-def stream_first_links(articles: DataFrame, time: str | None = None, delay: str | None = None) -> DataFrame:
-    """One article per canonical link.  With a time column and a delay, links are forgotten after that delay."""
-    keyed = clean_key(articles)
-    if time:
-        return keyed.withWatermark(time, delay).dropDuplicatesWithinWatermark(["clean"])
-    return keyed.dropDuplicates(["clean"])
+def stream_first_links(articles: DataFrame, time: str, delay: str) -> DataFrame:
+    """One article per canonical link; links are forgotten after a delay, so that the state stays bounded.
+
+    Where no link may come again, however late, use stream_news_dedup: its memory is the store.
+    """
+    return clean_key(articles).withWatermark(time, delay).dropDuplicatesWithinWatermark(["clean"])
 
 
 def stream_news_dedup(articles: DataFrame, root: str, checkpoint: str, fuzzy: bool = True):

@@ -8,7 +8,7 @@ import pytest
 
 from gavelline.operators import catalogue, ingest, news, statistics
 from gavelline.plans import ingest as ingest_plan
-from gavelline.plans import library, news as news_plan, weekly
+from gavelline.plans import certification, library, news as news_plan, registry, weekly
 from gavelline.schemas import GLOBAL_STATISTICS
 from gavelline.sources import files, payloads
 from gavelline.sources.store import read_store
@@ -28,20 +28,15 @@ def write_sheets(folder):
     (folder / "Sale Summary 3.csv").write_text("a,b\n1,2\n")
     (folder / "Sale 50 (02.09.2025).csv").write_text("\n")
     (folder / "notes.pdf").write_text("x")
-
-
-@pytest.fixture(params=["whole", "blocks"])
-def route(request, monkeypatch):
-    if request.param == "blocks":
-        monkeypatch.setattr(ingest_plan, "WHOLE_FILE_BYTES", 10)
-    return request.param
+    for name in ("Sale 60.xlsx", "Sale Average 61.xlsx"):
+        (folder / name).write_bytes(b"PK\x03\x04\x00\xff,\n" * 20)
 
 
 def stored(spark, root, name, *columns):
     return sorted((tuple(r) for r in read_store(spark, root, name).select(*columns).collect()), key=str)
 
 
-def test_ingest_and_second_run(spark, tmp_path, route):
+def test_ingest_and_second_run(spark, tmp_path):
     write_sheets(tmp_path / "in")
     root = str(tmp_path / "store")
     log = ingest_plan.ingest_folder(spark, str(tmp_path / "in"), root, "Harbour", datetime(2025, 9, 3))
@@ -52,16 +47,19 @@ def test_ingest_and_second_run(spark, tmp_path, route):
     assert status["Sale 50 (02.09.2025).csv"] == (0, "FAILURE")
     assert "notes.pdf" not in status
     offers = stored(spark, root, "auction_offers", "sale_number", "lot_number", "broker", "mark", "quantity_kgs", "package_count")
-    if route == "whole":
-        assert status["Sale 35 (02.09.2025).csv"] == (3, "SUCCESS")
-        assert ("36", "1", "ALPHA", "GREEN, HILL", 1000.5, 20.0) in offers and ("36", "2", "ALPHA", "TWO\nLINES", 10.0, None) in offers
-        assert len([o for o in offers if o[0] == "36"]) == 2
-        assert stored(spark, root, "auction_sales", "sale_number", "lot_number", "price") == [("36", "1", 2.5), ("40", "1", 1.5)]
+    assert status["Sale 35 (02.09.2025).csv"] == (3, "SUCCESS")
+    assert ("36", "1", "ALPHA", "GREEN, HILL", 1000.5, 20.0) in offers and ("36", "2", "ALPHA", "TWO\nLINES", 10.0, None) in offers
+    assert len([o for o in offers if o[0] == "36"]) == 2
+    assert stored(spark, root, "auction_sales", "sale_number", "lot_number", "price") == [("36", "1", 2.5), ("40", "1", 1.5)]
+    assert status["Sale 60.xlsx"] == status["Sale Average 61.xlsx"] == (0, "FAILURE")
     dateless = read_store(spark, root, "auction_offers").filter("lot_number = '9'").first()
     assert dateless["mark"] == "E9" and dateless["sale_number"] is None and dateless["valuation_or_rp"] == 3.1
     again = ingest_plan.ingest_folder(spark, str(tmp_path / "in"), root, "Harbour", datetime(2025, 9, 4))
     retried = {r["file_identifier"].split("|")[0]: r["status"] for r in again.collect()}
-    assert retried == {"Sale Summary 3.csv": "NO_NEW_DATA", "Sale 50 (02.09.2025).csv": "FAILURE"}
+    assert retried == {
+        "Sale Summary 3.csv": "NO_NEW_DATA", "Sale 50 (02.09.2025).csv": "FAILURE", "Sale 60.xlsx": "FAILURE",
+        "Sale Average 61.xlsx": "FAILURE",
+    }
     assert stored(spark, root, "auction_offers", "sale_number", "lot_number", "broker", "mark", "quantity_kgs", "package_count") == offers
 
 
@@ -78,7 +76,11 @@ def test_stream_of_files_equals_batch(spark, tmp_path):
     docs = spark.read.json(f"{out}/documents")
     row = docs.filter("metadata.sale_number = '36'").select("kpis.TOTAL_VOLUME", "metadata.location", "filename").first()
     assert tuple(row) == (f"{1000.5 * 20:,.0f}", "Harbour", "harbour_36.json")
-    assert [r["sale_number"] for r in spark.read.json(f"{out}/index").collect()] == ["36"]  # sale 40 has no date
+    assert [r["sale_number"] for r in spark.read.json(f"{out}/harbour_index.json").collect()] == ["36"]  # sale 40 has no date
+    sources = {r["name"]: r["folder"] for r in docs.filter("metadata.sale_number = '36'").select("data_sources").first()[0]}
+    assert spark.read.json(f"{out}/{sources['raw_sales_data']}").count() == 1
+    listed = library.build_library(spark, out, "Desk").collect()
+    assert [r["report_link"] for r in listed] == ["report_viewer.html?data=report_data/harbour_36.json"]
 
 
 def test_append_rules(spark):
@@ -92,19 +94,25 @@ def test_append_rules(spark):
     assert ingest.append_unique(added.filter("sale is not null"), store.union(added), key, ["pos"]).count() == 0
 
 
-def test_numbered_blocks_keep_order(spark, tmp_path):
-    lines = [f"{i},v{i}" for i in range(5000)]
-    (tmp_path / "big.csv").write_text("\n".join(lines))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
-    spark.conf.set("spark.sql.files.minPartitionNum", "1")
-    try:
-        df = files.block_lines(spark, [str(tmp_path / "big.csv")])
-        assert df.rdd.getNumPartitions() >= 1
-        rows = [r["cells"][0] for r in df.orderBy("row_pos").collect()]
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.minPartitionNum")
-    assert rows == [str(i) for i in range(5000)]
+def test_histories_append(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("c1", "2 Sept 2025", "x"), ("c2", "45902", "y")]
+    licences = spark.createDataFrame(rows, ["[certificateholder_id]", "[start_date_license ]", "country"])
+    for batch in ("b1", "b2", "b2"):
+        certification.append_certifications(licences, root, datetime(2025, 9, 3), batch)
+    got = certification.certification_history(spark, root).collect()
+    assert sorted((r["certificateholder_id"], str(r["start_date_license"]), r["batch_id"]) for r in got) == [
+        ("c1", "2025-09-02", "b1"), ("c1", "2025-09-02", "b2"), ("c2", "None", "b1"), ("c2", "None", "b2")]
+    heads = spark.createDataFrame(
+        [(1, "t", "d", "c", 3, 2025, "s", "/a"), (2, "t", "d", "c", 4, 2025, "s", "/a"), (3, "t", "d", "c", None, 2025, "s", "/b")],
+        "submission int, title string, description string, auction_centre string, week_number int, year int, source string, report_link string",
+    )
+    lots = spark.createDataFrame([(1, "l1"), (2, "l2"), (3, "l3"), (3, "l4")], "submission int, lot_number string")
+    registry.register_reports(heads.filter("submission < 3"), lots, root, batch="b1")
+    for _ in range(2):
+        registry.register_reports(heads, lots, root, batch="b2")
+    assert stored(spark, root, "reports", "report_link", "week_number") == [("/a", 3), ("/b", None)]
+    assert stored(spark, root, "results", "lot_number") == [("l1",), ("l3",), ("l4",)]
 
 
 def test_news_store(spark, tmp_path):
