@@ -29,7 +29,7 @@ def movement_join(prepared: DataFrame) -> DataFrame:
     The previous price comes from a window over the aggregated rows of one mark and grade (at most one row per sale)
     instead of a self-join; it counts only if it belongs to the directly preceding sale.
     """
-    return joined_movements(ohlc(prepared))
+    return joined_movements(cut(ohlc(prepared)))
 
 
 def joined_movements(bars: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from gavelline.operators import dedup
 from tests.compare import difference, duck
 
 SF = "/root/testdata/sf0.001"
@@ -27,3 +28,46 @@ def test_runs(spark, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 83 and df.columns[0] == "sale_number"
+
+
+def _number(text):
+    return int(text) if str(text).isdigit() else 0
+
+
+# What the sort operators order by, the first key first; larger means later.
+ORDERS = {
+    "library_sort": lambda r: (-_number(r.year), -_number(r.week_number), r.path, r.pos),
+    "index_sort": lambda r: tuple(-ord(c) for c in r.sale_number),
+    "registry_export": lambda r: (-r.year, -r.week_number),
+    "facets": lambda r: (r.facet, -_number(r.value) if r.facet == "year" else 0, r.value),
+    "dataset_sort": lambda r: r.title,
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_rows_are_in_order(spark, name):
+    rows = entry.queries()[name](spark, SF).collect()
+    keys = [ORDERS[name](r) for r in rows]
+    assert len(rows) > 4 and keys == sorted(keys)
+
+
+@pytest.mark.parametrize("limits", [{"HOT_KEY": 3, "FIRST_PARTNERS": 2}, {"PAIRS_PER_ROW": 0, "FEW_PAIRS": 0}])
+def test_headline_routes_agree(spark, monkeypatch, limits):
+    """The sizes that choose how headlines are paired leave the result alone."""
+    sf = "/root/testdata/sf0.01"
+    for name, value in limits.items():
+        monkeypatch.setattr(dedup, name, value)
+    for name in ("headline_fuzzy_dup", "news_dedup_greedy"):
+        assert difference(entry.queries()[name](spark, sf), duck(sf), SQL[name]) is None
+
+
+def _scans(df, table):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sum("Relation" in line and table in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("name, most", [
+    ("insights_text", 3), ("grade_layer", 3), ("broker_layer", 3), ("movement_by_mark", 1), ("movement_marks", 1), ("price_histogram", 1),
+])
+def test_scans_of_lots(spark, name, most):
+    assert _scans(entry.queries()[name](spark, SF), "l_orderkey") <= most
