@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gavelline.llm.common import slices
 from gavelline.llm.tokens import tokens
 
 LENGTH = 2048
@@ -116,7 +117,7 @@ def pack(
     def run(batches):
         encoder, last = tokens(vocabulary), np.array([end], "<u2").tobytes()
         number, pieces, held = TaskContext.get().partitionId() << 33, [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.frombuffer(encoder.encode(text or "") + last, "<u2")
                 pieces += [(doc_id, a, ids[a : a + length]) for a in range(0, len(ids), length)]

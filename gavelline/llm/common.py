@@ -1,5 +1,6 @@
 """What the corpus operators share."""
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,6 +9,24 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 
+#: Rows of a task that are held as Python objects at a time.
+SLICE_ROWS = 500
+
+
+def slices(batches):
+    """The rows of Arrow batches in small batches that share their memory."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
+def text_of(batch):
+    """The texts of a batch: its column text, or the field text of its column _row."""
+    if "text" in batch.schema.names:
+        return batch.column("text")
+    return pc.struct_field(batch.column("_row"), "text")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gavelline.llm.common import slices
+
 RESULT = "doc_id long, licence string, rule string, begin long, end long, in_order long, sentences array<string>"
 
 # Sentences by which public licences are granted, normalised, and the identifiers they stand for.
@@ -169,7 +171,7 @@ def scan(documents: DataFrame) -> DataFrame:
     def run(batches):
         names = [f.split()[0] for f in RESULT.split(", ")]
         types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()))
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 for k, (licence, rule, begin, end, sentences) in enumerate(licences(text or "")):

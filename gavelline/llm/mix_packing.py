@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavelline.llm.common import slices
 from gavelline.llm.tokens import tokens
 from gavelline.session import cut
 
@@ -44,7 +45,7 @@ def tokenised(documents: DataFrame, vocabulary: str = VOCABULARY, end: int = END
     def encode(batches):
         encoder, block, ahead = tokens(vocabulary), TaskContext.get().partitionId(), {}
         last = np.array([end], "<u2").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             sources = batch.column("source").to_pylist()
             ids = [encoder.encode(text or "") + last for text in batch.column("text").to_pylist()]
             n = [len(x) // 2 for x in ids]
@@ -174,7 +175,7 @@ def pack(
 
     def pieces(batches):
         cutter = Pieces(plan, length)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "source", "begin", "queued", "n_tokens", "ids")]
             for doc_id, source, begin, queued, n, ids in zip(*columns):

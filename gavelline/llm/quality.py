@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gavelline.llm.common import slices, text_of
 from gavelline.session import cut
 
 MIN_WORDS = 50
@@ -73,12 +74,12 @@ def statistics(text: str) -> tuple[int, ...]:
 
 
 def with_statistics(rows: DataFrame) -> DataFrame:
-    """The rows without their text, with the statistics of the text."""
+    """The rows with the statistics of their text, a column or a field of a column _row; a text column goes."""
     kept = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches):
-        for batch in batches:
-            values = [statistics(t or "") for t in batch.column("text").to_pylist()]
+        for batch in slices(batches):
+            values = [statistics(t or "") for t in text_of(batch).to_pylist()]
             columns = dict(zip(BASE + MORE, map(list, zip(*values)))) if values else dict.fromkeys(BASE + MORE, [])
             yield pa.record_batch(
                 {f.name: batch.column(f.name) for f in kept} | {k: pa.array(v, pa.int64()) for k, v in columns.items()}
@@ -225,9 +226,7 @@ def rules(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) ->
 def kept_documents(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
     """The documents that the rules keep, all their columns unchanged."""
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
-    text = F.col("text").cast("string").alias("text")
-    doc_id = F.col("doc_id").cast("long").alias("doc_id")
     marked = labels.select(F.col("doc_id").cast("long").alias("_doc")).distinct()
-    slim = documents.select(doc_id, text).join(marked, F.col("doc_id") == F.col("_doc"), "left_semi")
+    slim = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marked, F.col("doc_id") == F.col("_doc"), "left_semi")
     trees = fitted(with_statistics(slim), labels, most)
-    return judged(with_statistics(documents.select(row, text)), trees).filter("kept").select("_row.*")
+    return judged(with_statistics(documents.select(row)), trees).filter("kept").select("_row.*")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gavelline.llm.common import slices, text_of
 from gavelline.llm.components import components
 from gavelline.session import cut
 
@@ -59,12 +60,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The rows without their text, with print, the fingerprint of the text as a signed 64-bit number."""
+    """The rows with print, the fingerprint of their text, a column or a field of a column _row, as a signed 64-bit number.
+
+    A text column goes.
+    """
     kept = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches):
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for batch in slices(batches):
+            texts = text_of(batch).cast(pa.binary()).to_pylist()
             values = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.record_batch({f.name: batch.column(f.name) for f in kept} | {"print": pa.array(values)})
 
@@ -182,7 +186,7 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
 def one_of_each(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each class: of the smallest document id, and of the rows with this id the first by print and text."""
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
-    rows = cut(fingerprints(documents.select(row, F.col("text").cast("string").alias("text")), shingle))
+    rows = cut(fingerprints(documents.select(row), shingle))
     slim = rows.select(F.col("_row.doc_id").cast("long").alias("doc_id"), "print")
     stands = classes(slim, radius).filter(F.col("print") == F.col("kept")).select("print", "component_id")
     held = rows.join(cut(stands), "print")

@@ -7,13 +7,14 @@ goes through the library.
 """
 
 import base64
+import json
 import struct
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
 #: Pieces whose ids a worker remembers; it starts afresh beyond.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 class _Unsafe(Exception):
@@ -26,15 +27,22 @@ class Tokens(dict):
     def __init__(self, name: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        if self.library.get_vocab_size() > 1 << 16:
+        self.path = public_tokenizers.path(f"{name}.json")
+        with open(self.path) as file:
+            described = json.load(file)
+        if len(described["model"]["vocab"]) + len(described["added_tokens"]) > 1 << 16:
             raise ValueError("token ids are kept in 16 bits")
+        self.special = [t["content"] for t in described["added_tokens"]]
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pieces = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[-1].isspace():

@@ -108,3 +108,12 @@ def test_long_texts_in_chunks(monkeypatch):
     want = simhash.fingerprint(text.encode())
     monkeypatch.setattr(simhash, "CHUNK", 13)
     assert simhash.fingerprint(text.encode()) == want == plain(text)
+
+
+def test_many_rows_of_one_batch(corpus):
+    documents = corpus([f"text {k % 700} of its own words w{k % 700} v{k % 700}" for k in range(1400)]).coalesce(1)
+    check(documents, simhash.near_duplicates(documents).collect())
+    kept = {r.doc_id: r.text for r in simhash.one_of_each(documents).collect()}
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    assert all(texts[k] == t for k, t in kept.items())
+    assert set(kept) == {r.component_id for r in simhash.near_duplicates(documents).collect()}
