@@ -13,6 +13,7 @@ from gavelline.sources import files, payloads
 
 # --- file names made of orders -------------------------------------------------------------------------------------
 
+# Spellings of file names that the rules tell apart.
 _NAMES = [
     ("%~", "~$Sale {k}.xlsx"), ("general", "GeneralReport ({k}).csv"), ("offer", "Catalogue Sale {k}.xls"),
     ("average", "Sale {k} Average.xlsx"), ("sale", "Sale {k} (02.09.2025).csv"), ("comment", "Market Report {k}.docx"),
@@ -137,6 +138,7 @@ def excel_serial_date(spark, sf):
 # Even nations use one layout, odd nations another; a nation's sheet has 0 to 2 title rows.  In every second odd nation
 # the Mark column is empty, so that Estate takes its place.
 
+# Header spellings.
 _EVEN = ["Broker", "LotNo", "Garden", "Grade", "Kilos", "Bags", "Price", "Remark"]
 _ODD = [" lotno ", "BROKER", "Mark", "Estate", "Grade", "Net Weight", "Pkgs", "Final Price"]
 

@@ -70,3 +70,28 @@ TOP_IMPORTERS = 10
 NEWEST_ARTICLES = 500
 SESSION_ARTICLES = 200
 MAX_BINS = 50
+
+# What file names and sale codes tell of a sale.
+NUMBERED_FILE = r"(?i)Sale_No_(\d+)_"
+NUMBERED_FILE_DAY = r"(?i)(\d{1,2}(st|nd|rd|th)?_.*?_\d{4})"
+BRACKETED_FILE = r"(?i)Sale\s*(\d+)\s*\((.*?)\)"
+REPORT_FILE = r"(?i)GeneralReport\s*\((\d+)\)"
+SALE_CODE = r"(?i)Sale\s*(\d+)"
+
+# What gives an advertisement away, and the type names of structured data.
+SPONSORED = r"(?i)sponsored|advertisement|AD\s*\|"
+PARTNER_NOTE = "In partnership with"
+LIST_TYPE, ARTICLE_TYPE = "ItemList", "Article"
+
+# Phrases of the one-sentence summary, with the change in percent above which the first ones hold, the
+# change below which the next ones hold, and the sell-through rate from which the last ones hold.
+PRICES_UP = [(1.5, "Prices significantly higher"), (0.5, "Prices firm to dearer")]
+PRICES_DOWN = [(-1.5, "Prices significantly lower"), (-0.5, "Prices easier")]
+PRICES_STEADY = "Prices generally steady"
+DEMAND_ABOVE = (0.95, "Excellent absorption.")
+DEMAND_FROM = [(0.85, "Good general demand."), (0.75, "Fair demand; selective buying.")]
+DEMAND_LOW = "Low demand; significant withdrawals."
+
+# Wording of a mover, and the viewer page with the folder it reads from.
+ROSE, FELL, FROM, TO = ") rose by ", ") decreased by ", "% (from $", " to $"
+VIEWER_PAGE, REPORT_FOLDER = "report_viewer.html", "report_data"

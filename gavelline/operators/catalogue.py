@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavelline.constants import REPORT_FOLDER, VIEWER_PAGE
 from gavelline.functions.links import viewer_link
 from gavelline.functions.text import grouped, holds, slug
 from gavelline.schemas import INDEX_ENTRY
@@ -17,7 +18,7 @@ def index_entries(files: DataFrame) -> DataFrame:
     return files.select("path", F.posexplode(parsed).alias("pos", "entry")).select("path", "pos", "entry.*")
 
 
-def library_entries(entries: DataFrame, source: str, viewer="report_viewer.html", folder="report_data") -> DataFrame:
+def library_entries(entries: DataFrame, source: str, viewer=VIEWER_PAGE, folder=REPORT_FOLDER) -> DataFrame:
     """Index entries as catalogue entries; an entry without a file name is rejected."""
     place = F.coalesce("location", F.lit("Unknown"))
     keep = [c for c in ("path", "pos") if c in entries.columns]

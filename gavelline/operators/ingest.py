@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gavelline.constants import SUMMARY
+from gavelline.constants import BRACKETED_FILE, NUMBERED_FILE, NUMBERED_FILE_DAY, REPORT_FILE, SALE_CODE, SUMMARY
 from gavelline.functions.dates import parse_date, parse_date_or_serial
 from gavelline.functions.numbers import numeric, whole_number
 from gavelline.functions.text import blank_to_null
@@ -18,11 +18,11 @@ def _found(c: Column, pattern: str, group: int) -> Column:
 
 def filename_meta(name: Column) -> tuple[Column, Column]:
     """(sale number, sale date) told by a file name."""
-    numbered = _found(name, r"(?i)Sale_No_(\d+)_", 1)
-    day = F.replace(F.regexp_extract(name, r"(?i)(\d{1,2}(st|nd|rd|th)?_.*?_\d{4})", 1), F.lit("_"), F.lit(" "))
-    bracketed = _found(name, r"(?i)Sale\s*(\d+)\s*\((.*?)\)", 1)
-    bracket_day = F.regexp_extract(name, r"(?i)Sale\s*(\d+)\s*\((.*?)\)", 2)
-    report = _found(name, r"(?i)GeneralReport\s*\((\d+)\)", 1)
+    numbered = _found(name, NUMBERED_FILE, 1)
+    day = F.replace(F.regexp_extract(name, NUMBERED_FILE_DAY, 1), F.lit("_"), F.lit(" "))
+    bracketed = _found(name, BRACKETED_FILE, 1)
+    bracket_day = F.regexp_extract(name, BRACKETED_FILE, 2)
+    report = _found(name, REPORT_FILE, 1)
     number = F.coalesce(numbered, bracketed, report)
     date = F.when(numbered.isNotNull(), parse_date(day)).when(bracketed.isNotNull(), parse_date(bracket_day))
     return number, date
@@ -43,7 +43,7 @@ def internal_meta(mapped: DataFrame) -> DataFrame:
     dates = most_frequent(mapped, "file", "sale_date_internal")
     return codes.join(dates, "file", "full").select(
         "file",
-        _found(F.col("sale_number_internal"), r"(?i)Sale\s*(\d+)", 1).alias("internal_number"),
+        _found(F.col("sale_number_internal"), SALE_CODE, 1).alias("internal_number"),
         parse_date_or_serial(F.col("sale_date_internal")).alias("internal_date"),
     )
 

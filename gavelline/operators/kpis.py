@@ -1,9 +1,14 @@
 """Key figures of each sale."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavelline.constants import AWAITING_CATALOGUES, AWAITING_RESULTS, PREDICTION, WEATHER
+from gavelline.constants import (
+    AWAITING_CATALOGUES, AWAITING_RESULTS, DEMAND_ABOVE, DEMAND_FROM, DEMAND_LOW, PREDICTION, PRICES_DOWN, PRICES_STEADY, PRICES_UP,
+    WEATHER,
+)
 from gavelline.functions.numbers import exact_sum, ratio
 from gavelline.functions.text import fixed, grouped, signed
 from gavelline.operators.lots import is_priced, total_weight
@@ -76,22 +81,17 @@ def percent(rate):
     return F.concat(fixed(rate * 100, 2), F.lit("%"))
 
 
+def _first_of(cases: list, otherwise: str) -> Column:
+    """The text of the first case that holds."""
+    return reduce(lambda rest, case: F.when(case[0], F.lit(case[1])).otherwise(rest), reversed(cases), F.lit(otherwise))
+
+
 def snapshot_text(df: DataFrame) -> DataFrame:
     """One sentence on price and demand; a volume that prints as 0 means results are awaited."""
     change, rate = F.col("price_change_numeric"), F.col("sell_through_rate")
-    price = (
-        F.when(change > 1.5, F.lit("Prices significantly higher"))
-        .when(change > 0.5, F.lit("Prices firm to dearer"))
-        .when(change < -1.5, F.lit("Prices significantly lower"))
-        .when(change < -0.5, F.lit("Prices easier"))
-        .otherwise(F.lit("Prices generally steady"))
-    )
-    demand = (
-        F.when(rate > 0.95, F.lit("Excellent absorption."))
-        .when(rate >= 0.85, F.lit("Good general demand."))
-        .when(rate >= 0.75, F.lit("Fair demand; selective buying."))
-        .otherwise(F.lit("Low demand; significant withdrawals."))
-    )
+    prices = [(change > limit, text) for limit, text in PRICES_UP] + [(change < limit, text) for limit, text in PRICES_DOWN]
+    demands = [(rate > DEMAND_ABOVE[0], DEMAND_ABOVE[1])] + [(rate >= limit, text) for limit, text in DEMAND_FROM]
+    price, demand = _first_of(prices, PRICES_STEADY), _first_of(demands, DEMAND_LOW)
     told = F.concat(price, F.lit(" ("), F.col("price_change"), F.lit("). "), demand)
     awaited = grouped(F.col("total_volume")) == "0"
     return df.withColumn("snapshot", F.when(awaited, F.lit(AWAITING_RESULTS)).otherwise(told))

@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavelline.constants import (
-    FALL_COLOUR, FALLERS_HEADING, FIRST_SALE, MIN_MOVER_KGS, NO_COMMON_ITEMS, NO_CURRENT_DATA, PLACEHOLDER,
-    RISE_COLOUR, RISERS_HEADING, STABLE_PRICES, TOP_MOVERS,
+    FALL_COLOUR, FALLERS_HEADING, FELL, FIRST_SALE, FROM, MIN_MOVER_KGS, NO_COMMON_ITEMS, NO_CURRENT_DATA, PLACEHOLDER,
+    RISE_COLOUR, RISERS_HEADING, ROSE, STABLE_PRICES, TO, TOP_MOVERS,
 )
 from gavelline.functions.numbers import exact_mean, exact_sum
 from gavelline.functions.text import fixed
@@ -95,8 +95,8 @@ def insights_text(prepared: DataFrame, weeks: DataFrame) -> DataFrame:
     rising = F.col("direction") == "riser"
     line = F.concat(
         F.lit("- "), F.col("mark"), F.lit(" ("), F.col("grade"),
-        F.when(rising, F.lit(") rose by ")).otherwise(F.lit(") decreased by ")),
-        fixed(F.col("change_pct"), 1), F.lit("% (from $"), fixed(F.col("open"), 2), F.lit(" to $"),
+        F.when(rising, F.lit(ROSE)).otherwise(F.lit(FELL)),
+        fixed(F.col("change_pct"), 1), F.lit(FROM), fixed(F.col("open"), 2), F.lit(TO),
         fixed(F.col("close"), 2), F.lit(")."),
     )
 

@@ -5,18 +5,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavelline.constants import NEWEST_ARTICLES, SESSION_ARTICLES
+from gavelline.constants import ARTICLE_TYPE, LIST_TYPE, NEWEST_ARTICLES, PARTNER_NOTE, SESSION_ARTICLES, SPONSORED
 from gavelline.functions.dates import display_date
 from gavelline.functions.links import resolve_link
 from gavelline.functions.text import blank_to_null, plain_text, strip
 
-_SPONSORED = r"(?i)sponsored|advertisement|AD\s*\|"
 
-
-def sponsor_filter(items: DataFrame, partner_note: str = "In partnership with") -> DataFrame:
+def sponsor_filter(items: DataFrame, partner_note: str = PARTNER_NOTE) -> DataFrame:
     """Items that are no advertisement and have a title and a link."""
     text = F.coalesce("text", F.lit(""))
-    paid = text.rlike(_SPONSORED) | F.contains(F.lower(text), F.lit(partner_note.lower()))
+    paid = text.rlike(SPONSORED) | F.contains(F.lower(text), F.lit(partner_note.lower()))
     named = (F.coalesce("title", F.lit("")) != "") & (F.coalesce("link", F.lit("")) != "")
     return items.filter(~paid & named)
 
@@ -37,10 +35,10 @@ def jsonld_articles(pages: DataFrame, source: str) -> DataFrame:
     """
     bodies = F.regexp_extract_all("html", F.lit(r'(?s)<script type="application/ld\+json">(.*?)</script>'), F.lit(1))
     lists = F.transform(bodies, lambda b: F.from_json(strip(b), _LIST))
-    lists = F.filter(lists, lambda d: d["@type"] == "ItemList")
+    lists = F.filter(lists, lambda d: d["@type"] == LIST_TYPE)
     found = F.transform(lists, lambda d: F.filter(
         F.transform(d["itemListElement"], lambda e: F.from_json(F.from_json(e, "struct<item: string>")["item"], _ITEM)),
-        lambda a: (a["@type"] == "Article") & (a["name"] != "") & (a["url"] != ""),
+        lambda a: (a["@type"] == ARTICLE_TYPE) & (a["name"] != "") & (a["url"] != ""),
     ))
     first = F.get(F.filter(found, lambda a: F.size(a) > 0), F.lit(0))
     rows = pages.select("page_id", F.posexplode(first).alias("pos", "a"))
