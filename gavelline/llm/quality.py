@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gavelline.llm.common import slices, text_of
+from gavelline.llm.common import sampled, slices, text_of
 from gavelline.session import cut
 
 MIN_WORDS = 50
@@ -190,12 +190,19 @@ def _flat(nodes, roots, base, depth, threshold) -> Trees:
     return Trees(np.array(roots), *(np.array(nodes[k]) for k in ("feature", "limit", "left", "right", "value")), base, depth, threshold)
 
 
-def fitted(stats: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Trees | None:
-    """Trees for (doc_id, quality) labels, from statistics by doc_id; None if there is nothing to tell apart."""
+def label_sample(labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
+    """(_doc, _good) rows, at most `most` of them."""
     marked = labels.select(F.col("doc_id").cast("long").alias("_doc"), F.col("quality").cast("int").alias("_good"))
-    marked = marked.filter("_doc is not null and _good in (0, 1)")
-    sample = stats.join(marked, F.col("doc_id") == F.col("_doc")).select("_good", "doc_id", *BASE, *MORE)
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "_good", *BASE).limit(most).toPandas()
+    return cut(sampled(marked.filter("_doc is not null and _good in (0, 1)"), "_doc", most))
+
+
+def fitted(stats: DataFrame, sample: DataFrame, most: int = MOST_LABELLED) -> Trees | None:
+    """Trees for a sample of labels, from statistics by doc_id; None if there is nothing to tell apart.
+
+    The sample is broadcast: it has at most `most` rows of two numbers.
+    """
+    found = stats.join(F.broadcast(sample), F.col("doc_id") == F.col("_doc")).select("_good", "doc_id", *BASE, *MORE)
+    sample = found.orderBy(F.xxhash64("doc_id"), "doc_id", "_good", *BASE).limit(most).toPandas()
     y = sample["_good"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return None
@@ -220,13 +227,14 @@ def rules(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) ->
     """Per row doc_id, its statistics, base_failed, score and kept."""
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     stats = cut(with_statistics(rows))
-    return judged(stats, fitted(stats, labels, most))
+    return judged(stats, fitted(stats, label_sample(labels, most), most))
 
 
 def kept_documents(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
     """The documents that the rules keep, all their columns unchanged."""
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
-    marked = labels.select(F.col("doc_id").cast("long").alias("_doc")).distinct()
-    slim = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marked, F.col("doc_id") == F.col("_doc"), "left_semi")
-    trees = fitted(with_statistics(slim), labels, most)
+    sample = label_sample(labels, most)
+    slim = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    labelled = slim.join(F.broadcast(sample.select("_doc").distinct()), F.col("doc_id") == F.col("_doc"), "left_semi")
+    trees = fitted(with_statistics(labelled), sample, most)
     return judged(with_statistics(documents.select(row)), trees).filter("kept").select("_row.*")

@@ -24,6 +24,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gavelline.llm.common import sampled
+from gavelline.session import cut
+
 #: Bytes of a run.
 SHORT, LONG = 3, 6
 BITS = 17
@@ -119,13 +122,13 @@ def fitted(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST
     """A model of (doc_id, toxic) labels; None without labels of both classes."""
     marked = labels.select(F.col("doc_id").cast("long").alias("_doc"), F.col("toxic").cast("int").alias("_toxic"))
     marked = marked.filter("_doc is not null and _toxic in (0, 1)").distinct()
-    order = [F.xxhash64("_doc"), "_doc"]
-    sample = marked.filter("_toxic = 1").orderBy(*order).limit(most[0])
-    sample = sample.unionByName(marked.filter("_toxic = 0").orderBy(*order).limit(most[1]))
+    toxic, clean = (sampled(marked.filter(f"_toxic = {k}"), "_doc", n) for k, n in ((1, most[0]), (0, most[1])))
+    sample = cut(toxic.unionByName(clean))  # a bounded number of rows of two numbers
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.join(sample, F.col("doc_id") == F.col("_doc")).select("_doc", "_toxic", "text").distinct()
+    found = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_doc"))
     # Several rows of a document are cut down to one, so that the bound holds.
-    rows = found.groupBy("_doc", "_toxic").agg(F.min("text").alias("text")).orderBy(*order, "_toxic").toPandas()
+    rows = found.groupBy("_doc", "_toxic").agg(F.min("text").alias("text"))
+    rows = rows.orderBy(F.xxhash64("_doc"), "_doc", "_toxic").toPandas()
     toxic = rows["_toxic"].to_numpy(float)
     if not len(toxic) or toxic.min() == toxic.max():
         return None
