@@ -184,12 +184,18 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
 
 
 def one_of_each(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each class: of the smallest document id, and of the rows with this id the first by print and text."""
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
-    rows = cut(fingerprints(documents.select(row), shingle))
-    slim = rows.select(F.col("_row.doc_id").cast("long").alias("doc_id"), "print")
-    stands = classes(slim, radius).filter(F.col("print") == F.col("kept")).select("print", "component_id")
-    held = rows.join(cut(stands), "print")
-    held = held.filter(F.col("_row.doc_id").cast("long").eqNullSafe(F.col("component_id")))
-    order = Window.partitionBy("print").orderBy("_row.text", F.xxhash64("_row"))
-    return held.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select("_row.*")
+    """One row of each class: of the smallest document id, and of the rows with this id the first by print and row hash.
+
+    Rows are known by two hashes of all their columns; texts are shuffled once, when rows are picked by them.
+    """
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    hashes = F.xxhash64(nulls, *columns).alias("_a"), F.xxhash64(F.lit(1), nulls, *columns).alias("_b")
+    slim = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *hashes, F.col("text").cast("string").alias("text"))
+    rows = cut(fingerprints(slim, shingle))
+    stands = classes(rows, radius).filter(F.col("print") == F.col("kept")).select("print", "component_id")
+    first = rows.join(cut(stands), "print").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = cut(first.groupBy("print").agg(F.min(F.struct("_a", "_b")).alias("k")).select("k._a", "k._b"))
+    same = Window.partitionBy("_a", "_b").orderBy(F.lit(0))  # equal rows
+    keyed = documents.select(F.struct(*columns).alias("_row"), *hashes).withColumn("_n", F.row_number().over(same))
+    return keyed.filter("_n = 1").join(kept, ["_a", "_b"], "left_semi").select("_row.*")
