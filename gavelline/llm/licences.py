@@ -1,11 +1,13 @@
 """Licence scans by sentence rules: known sentences become identifiers, and sequences of identifiers become licences.
 
-A text falls into sentences at line ends and after a full stop, a question or an exclamation mark, a semicolon or a colon
-before white space.  A sentence is normalised (lower case, signs of comments and quotes and all punctuation but points
-between digits dropped, white space collapsed, spellings such as "licence" unified) and looked up among the known sentences,
-by its words and, where a sentence has a part that varies, by a pattern for it.  The identifiers of a text in order, with
-nothing where a sentence is unknown, are matched against the rules in their order: a rule is a sequence of identifiers
-that follow one another, each identifier counts for one licence only, so the fuller rules stand before their parts.
+A text is a row of words (lower case, signs of comments and quotes and all punctuation but points between digits dropped,
+spellings such as "licence" unified) in paragraphs, which end at blank lines and at lines of signs only.  A sentence may begin
+and end at line ends, after a full stop, a question or an exclamation mark, a semicolon or a colon before white space, at the
+ends of a web address and after a list number.  From each such place the longest known sentence that ends at another one is
+taken, across all line ends, semicolons and colons inside, so wrapped texts count as unwrapped ones; a part that varies may
+have any length.  The identifiers of a text in order, with nothing where a sentence is unknown (list numbers and bare web
+addresses are no sentences), are matched against the rules in their order: a rule is a sequence of identifiers that follow one
+another, each identifier counts for one licence only, so the fuller rules stand before their parts.
 Known sentences that no rule takes are reported as such, not dropped.
 
 The rows of a result are the licences found: doc_id, licence, rule, begin and end (characters in the text), in_order (its
@@ -16,6 +18,7 @@ carried along; an empty table gives no rows.  Whole texts are scanned.
 """
 
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,7 +29,8 @@ from gavelline.llm.common import slices
 RESULT = "doc_id long, licence string, rule string, begin long, end long, in_order long, sentences array<string>"
 
 # Sentences by which public licences are granted, normalised, and the identifiers they stand for.
-# {version} is a number with points, {holder} a few words, {year} one or more years.
+# {version} is a number with points, {holder} words (up to the next end of a sentence where it comes last), {year} one or
+# more years.
 SENTENCES = {
     "mit-name": ["released under the mit license", "licensed under the mit license", "the mit license",
                  "the mit license mit", "mit license", "this project is licensed under the mit license"],
@@ -91,7 +95,9 @@ RULES = [
     ("MIT", "mit-part", ["mit-grant"]),
     ("Apache-{version}", "apache-full", ["apache-name", "apache-use", "apache-copy", "apache-warranty"]),
     ("Apache-{version}", "apache-named", ["apache-name"]),
+    ("BSD-3-Clause", "bsd-3-reserved", ["reserved", "bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
     ("BSD-3-Clause", "bsd-3", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-2-Clause", "bsd-2-reserved", ["reserved", "bsd-grant", "bsd-source", "bsd-binary"]),
     ("BSD-2-Clause", "bsd-2", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("GPL-{version}-or-later", "gpl-later", ["gpl-grant"]),
     ("GPL-{version}-only", "gpl-only", ["gpl-only"]),
@@ -110,44 +116,159 @@ RULES = [
     ("Proprietary", "reserved-alone", ["reserved"]),
 ]
 
-_PARTS = {"{version}": r"(?P<version>\d+(?:\.\d+)*)", "{holder}": r"(?:\S+ ?){1,12}", "{year}": r"\d{4}(?: \d{4})*"}
-_FIXED = {s: name for name, kinds in SENTENCES.items() for s in kinds if "{" not in s}
-_OPEN = [
-    (name, re.compile("".join(_PARTS.get(x, re.escape(x)) for x in re.split(r"(\{\w+\})", s))))
-    for name, kinds in SENTENCES.items() for s in kinds if "{" in s
-]
-_SENTENCE = re.compile(r"[^\n]+?(?:[.!?;:](?=[\x20\x09-\x0D])|(?=\n)|\Z)")
-_DROPPED = re.compile(r"[^\w.]+|_+|(?<!\d)\.|\.(?!\d)")
+_VERSION, _YEAR = re.compile(r"\d+(?:\.\d+)*"), re.compile(r"\d{4}")
+_WORD = re.compile(r"(?:[^\W_]|(?<=\d)\.(?=\d))+")
+_ADDRESS = re.compile(r"(?:https?://|www\.)[^\s<>\"')\]]*[^\s<>\"')\].,;:!?]", re.I)
+_EDGE = re.compile(r"\n|[.!?;:](?=[\x20\x09-\x0D])")
+_BREAK = re.compile(r"\n(?:(?:[^\w\n]|_)*\n)+")
+_MARK = re.compile(r"(?:\d{1,3}(?:\.\d{1,3})*|[a-z]|[ivx]{1,5})[.)](?=\s|\Z)", re.I)
+#: Signs of comments that are words.
+_REMARK = re.compile(r"^[\x20\x09]*(rem|dnl|c)(?=\s)", re.I | re.M)
+_REST = re.compile(r"[^\w\s]*")
 #: Every known sentence has one of these, so a text without them has no known sentence.
-_SIGNS = re.compile(r"licen[cs]e|copyright|copies|permi(?:ssion|tted)|warrant|redistribut|free software|cc0|rights reserved", re.I)
-_SAME = ((re.compile(r"\blicenc(e[ds]?)\b"), r"licens\1"), (re.compile(r"\bcopyright (?:c|©) "), "copyright "))
+_SIGNS = re.compile(
+    r"licen[cs]e|copyright|copies|permi(?:ssion|tted)|warrant|redistribut|free[\W_]+software|cc0|rights[\W_]+reserved", re.I
+)
+_SAME = {"licence": "license", "licences": "licenses", "licenced": "licensed"}
 
 
-def normalised(sentence: str) -> str:
-    plain = " ".join(_DROPPED.sub(" ", sentence.lower()).split())
-    for pattern, same in _SAME:
-        plain = pattern.sub(same, plain)
-    return plain
+def _compiled() -> dict[str, list]:
+    """Known sentences by their first words: identifier and parts, which are lists of words or names of parts that vary."""
+    found = {}
+    for name, kinds in SENTENCES.items():
+        for sentence in kinds:
+            parts = [p if p[0] == "{" else p.split() for p in re.split(r"(\{\w+\})", sentence) if p.strip()]
+            found.setdefault(parts[0][0], []).append((name, parts))
+    return found
+
+
+_KNOWN = _compiled()
+
+
+class _Paragraph:
+    """The words of a part of a text, where they lie, and between which of them a sentence may begin and end."""
+
+    def __init__(self, text: str, begin: int, end: int):
+        addresses = [m.span() for m in _ADDRESS.finditer(text, begin, end)]
+        signs = {m.start(1) for m in _REMARK.finditer(text, begin, end)}
+        self.words, self.spans = [], []
+        for m in _WORD.finditer(text, begin, end):
+            word = m[0].lower()
+            if m.start() in signs or (word == "c" and self.words and self.words[-1] == "copyright"):
+                continue
+            self.words.append(_SAME.get(word, word))
+            self.spans.append(m.span())
+        starts = [a for a, _ in self.spans]
+        edges = {0, len(starts)} | {bisect_left(starts, m.start()) for m in _EDGE.finditer(text, begin, end)}
+        self.bare = set()  # words of list numbers and web addresses
+        for a, b in addresses:
+            k, n = bisect_left(starts, a), bisect_left(starts, b)
+            edges |= {k, n}
+            self.bare.update(range(k, n))
+        for k in sorted(edges):
+            while k < len(starts) and k not in self.bare and _MARK.match(text, starts[k], end):
+                self.bare.add(k)
+                k += 1
+                edges.add(k)
+        self.edges, self.in_order, self.places = edges, sorted(edges), {}
+
+    def after_holder(self, chunk: list[str], i: int) -> int | None:
+        """The first place after i, and at least one word, where these words end a sentence."""
+        key = tuple(chunk)
+        if key not in self.places:
+            n = len(chunk)
+            heads = (k for k, word in enumerate(self.words) if word == chunk[0])
+            self.places[key] = [k for k in heads if k + n in self.edges and self.words[k : k + n] == chunk]
+        k = bisect_left(self.places[key], i + 1)
+        return self.places[key][k] + len(chunk) if k < len(self.places[key]) else None
+
+    def end_of(self, parts: list, i: int) -> tuple[int | None, str]:
+        """Where a known sentence that begins at word i ends, if it is there, and its version."""
+        words, version, k = self.words, "", 0
+        while k < len(parts):
+            part = parts[k]
+            if part == "{version}":
+                if i >= len(words) or not _VERSION.fullmatch(words[i]):
+                    return None, ""
+                version, i = words[i], i + 1
+            elif part == "{year}":
+                first = i
+                while i < len(words) and _YEAR.fullmatch(words[i]):
+                    i += 1
+                if i == first:
+                    return None, ""
+            elif part == "{holder}" and k + 1 < len(parts):
+                k += 1  # the words behind the holder end the sentence
+                i = self.after_holder(parts[k], i)
+                if i is None:
+                    return None, ""
+            elif part == "{holder}":
+                if i in self.edges:
+                    return None, ""
+                i = self.in_order[bisect_right(self.in_order, i)]
+            else:
+                if words[i : i + len(part)] != part:
+                    return None, ""
+                i += len(part)
+            k += 1
+        return (i, version) if i in self.edges else (None, "")
+
+    def known_at(self, i: int) -> tuple[str, str, int] | None:
+        """Identifier, version and end of the longest known sentence that begins at word i; of equal ones the first."""
+        best = None
+        for name, parts in _KNOWN.get(self.words[i], ()):
+            end, version = self.end_of(parts, i)
+            if end is not None and (best is None or end > best[2]):
+                best = name, version, end
+        return best
+
+    def sentences(self):
+        """Identifier and version or nothing, begin and end in the text, of all sentences."""
+        i, n = 0, len(self.words)
+        while i < n:
+            if found := self.known_at(i):
+                name, version, end = found
+                yield (name, version), self.spans[i][0], self.spans[end - 1][1]
+            else:
+                end = self.in_order[bisect_right(self.in_order, i)]
+                if not all(k in self.bare for k in range(i, end)):
+                    yield None, self.spans[i][0], self.spans[end - 1][1]
+            i = end
 
 
 def known(sentence: str) -> tuple[str, str] | None:
     """Identifier and version, if any, of a sentence."""
-    plain = normalised(sentence)
-    if plain in _FIXED:
-        return _FIXED[plain], ""
-    if len(plain) > 600 or not _SIGNS.search(plain):
-        return None
-    for name, pattern in _OPEN:
-        if found := pattern.fullmatch(plain):
-            return name, found.groupdict().get("version") or ""
-    return None
+    words = _Paragraph(sentence, 0, len(sentence))
+    found = words.known_at(0) if words.words else None
+    return found[:2] if found and found[2] == len(words.words) else None
+
+
+def _paragraphs(text: str):
+    begin = 0
+    for m in _BREAK.finditer(text):
+        yield begin, m.start()
+        begin = m.end()
+    yield begin, len(text)
+
+
+def _sentences(text: str) -> list[tuple]:
+    """The sentences of a text; unknown ones that follow one another are one."""
+    found = []
+    for begin, end in _paragraphs(text):
+        signs = _SIGNS.search(text, begin, end)
+        if not signs and (not found or not found[-1][0]):
+            continue
+        for sentence in _Paragraph(text, begin, end).sentences():
+            if sentence[0] or not found or found[-1][0]:
+                found.append(sentence)
+    return found
 
 
 def licences(text: str) -> list[tuple]:
     """licence, rule, begin, end, identifiers of a whole text, by place."""
     if not _SIGNS.search(text):
         return []
-    tokens = [(known(m[0]), m.start(), m.end()) for m in _SENTENCE.finditer(text) if m[0].strip()]
+    tokens = [(t, begin, _REST.match(text, end).end()) for t, begin, end in _sentences(text)]
     names = [t[0][0] if t[0] else None for t in tokens]
     if not any(names):
         return []

@@ -57,3 +57,118 @@ def test_awkward_rows(awkward, nothing, spark):
     assert sorted((r.licence, r.doc_id) for r in found) == [("CC-BY-NC-4.0", None)] * 2 + [("MIT", 1)] * 2
     assert all(r.in_order == 0 for r in found)
     assert {r.begin for r in found if r.doc_id is None} == {len("word word. " * 50_000) + 1}
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+BSD_2 = """Copyright (c) 2019, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+
+BSD_3 = BSD_2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+
+APACHE_HEADER = """   Copyright 2021 The Authors
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       https://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License."""
+
+GPL_3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful."""
+
+GPL_2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version."""
+
+GPL_2_ONLY = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; version 2 of the License.
+
+This program is distributed in the hope that it will be useful."""
+
+
+@pytest.mark.parametrize("sign", ["", "# ", "// ", " * ", "-- ", "dnl ", "> "])
+@pytest.mark.parametrize("text, want", [
+    (MIT, ("MIT", "mit-full")),
+    (BSD_2, ("BSD-2-Clause", "bsd-2-reserved")),
+    (BSD_3, ("BSD-3-Clause", "bsd-3-reserved")),
+    (BSD_3.replace("All rights reserved.\n", ""), ("BSD-3-Clause", "bsd-3")),
+    (BSD_3.replace("1.", "(a)").replace("2.", "(b)").replace("3.", "(c)"), ("BSD-3-Clause", "bsd-3-reserved")),
+    (APACHE_HEADER, ("Apache-2.0", "apache-full")),
+    (GPL_3, ("GPL-3-or-later", "gpl-later")),
+    (GPL_2, ("GPL-2-or-later", "gpl-later")),
+    (GPL_2_ONLY, ("GPL-2-only", "gpl-only")),
+])
+def test_verbatim_wrapped_texts(text, want, sign):
+    text = "\n".join((sign + line).rstrip() for line in text.split("\n"))
+    found = lic.licences(text)
+    assert [f[:2] for f in found if f[0] and f[1] != "mit-named"] == [want]
+
+
+def test_long_parts_of_sentences():
+    holder = " ".join(f"Company{k} Inc." for k in range(100))
+    text = BSD_3.replace("the copyright holder nor", f"{holder} nor")
+    assert [f[:2] for f in lic.licences(text) if f[0]] == [("BSD-3-Clause", "bsd-3-reserved")]
+    assert [f[1] for f in lic.licences("Copyright 2020 " + "Name " * 200 + "\nAll rights reserved.")] == ["reserved"]
+
+
+def test_paragraphs_and_unknown_sentences_part():
+    assert lic.licences("This program is free software;\n\nyou can redistribute it.") == []
+    assert [f[1] for f in lic.licences("Copyright 2020\nAll rights\nreserved.")] == ["reserved"]
+    parted = BSD_2.replace("1. Red", "Some other words.\n\n1. Red")
+    assert "BSD-2-Clause" not in [f[0] for f in lic.licences(parted)]
+
+
+def test_scan_of_wrapped_texts(spark):
+    rows = spark.createDataFrame(list(enumerate([MIT, BSD_2, BSD_3, APACHE_HEADER, GPL_3])), "doc_id long, text string")
+    found = {(r.doc_id, r.rule) for r in lic.scan(rows).collect()}
+    assert {(0, "mit-full"), (1, "bsd-2-reserved"), (2, "bsd-3-reserved"), (3, "apache-full"), (4, "gpl-later")} <= found
