@@ -6,15 +6,17 @@ that share a variant are deduplicated, verified by their bit distance and linked
 
 There are 2,081 variants of 64 bits within 2 flips, so they are shuffled by their leading bits and not one by one: a
 fingerprint goes once to each region (a value of the `region_bits` leading bits of variants) that its variants reach, and
-the variants of a region are made, sorted and compared where they meet, a slice of the region at a time.  That moves 1 + k +
-k(k-1)/2 rows per fingerprint for k leading bits, and every variant is still met with every equal one.  In a region, all
-fingerprints of a variant are linked with its smallest one only, and a region passes on a spanning forest, so groups of
+the variants of a region are made, sorted and compared where they meet, a slice of counted variants at a time.  That moves
+1 + k + k(k-1)/2 rows per fingerprint for k leading bits, and every variant is still met with every equal one.  In a region,
+all fingerprints of a variant are linked with its smallest one only, and a region passes on a spanning forest, so groups of
 near copies never become pairs.
 
 Defined results: a null text is empty; a text without words has fingerprint 0 and is linked like any other; fewer words than
 a shingle are one shingle; a null document id counts as larger than all others; an empty table gives no rows.
 """
 
+from array import array
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -35,6 +37,8 @@ SEED = 42
 REGION_ROWS = 8_000
 #: Variants of a region that are held at a time.
 SLICE_VARIANTS = 4_000_000
+#: Pairs that are joined before those within one tree are left out.
+PAIRS = 100_000
 #: Shingles whose bits are counted at a time.
 CHUNK = 50_000
 
@@ -81,36 +85,59 @@ def flips(bits: list[int], most: int) -> np.ndarray:
     return np.array(masks, np.uint64).reshape(-1, 2)
 
 
+@lru_cache(maxsize=64)
+def _inside(depth: int, half: int) -> np.ndarray:
+    """Masks that flip up to `half` of the bits below the `depth` leading ones, with the number of flips."""
+    return flips(list(range(64 - depth)), half)
+
+
+def pieces(region: int, prints: np.ndarray, bits: int, half: int):
+    """Leading bits and their number that part the variants of a region, with the fingerprints that reach them and their flips.
+
+    The variants of each are counted, and one that has more than SLICE_VARIANTS is split by its next bit.  Where all bits lead
+    there is one variant, which the 2,081 distinct fingerprints around it share at most.
+    """
+    left = [(region, bits)]
+    while left:
+        head, depth = left.pop()
+        leading = prints >> np.uint64(64 - depth) if depth else np.zeros(len(prints), np.uint64)
+        away = np.bitwise_count(leading ^ np.uint64(head))
+        near = np.flatnonzero(away <= half)
+        away = away[near]
+        of = np.bincount(_inside(depth, half)[:, 1].astype(np.int64), minlength=half + 1).cumsum()
+        if depth < 64 and int(of[half - away].sum()) > SLICE_VARIANTS:
+            left += [(head << 1 | 1, depth + 1), (head << 1, depth + 1)]
+        elif len(near):
+            yield head, depth, near, away
+
+
 def region_links(region: int, prints: np.ndarray, bits: int, radius: int):
-    """Linked pairs of a region's fingerprints: a spanning forest of those that share a variant there.
+    """Linked pairs of a region's fingerprints (arrays of places): a spanning forest of those that share a variant there.
 
-    The region is taken in slices by the bits that follow the leading ones, so that memory stays bounded.
+    The region is taken in pieces of SLICE_VARIANTS at most by the bits that follow the leading ones, so that memory stays
+    bounded however close the fingerprints are to one another.
     """
     half = radius // 2
-    inner = len(flips(list(range(64 - bits)), half))
-    more = max(0, int(np.ceil(np.log2(max(1, len(prints) * inner / SLICE_VARIANTS)))))
-    depth = bits + more
-    inside = flips(list(range(64 - depth)), half)
-    root = list(range(len(prints)))
-    for piece in range(1 << more):
-        head = np.uint64((region << more) | piece)
-        away = np.bitwise_count((prints >> np.uint64(64 - depth)) ^ head) if depth else np.zeros(len(prints), np.uint8)
-        near = np.flatnonzero(away <= half)
+    root = array("q", range(len(prints)))
+    for _, depth, near, away in pieces(region, prints, bits, half):
+        masks, low = _inside(depth, half), np.uint64((1 << (64 - depth)) - 1)
         found, who = [], []
-        low = prints & np.uint64((1 << (64 - depth)) - 1)
         for k in range(half + 1):
-            of = near[away[near] == k]
-            masks = inside[inside[:, 1] <= half - k, 0]
-            found.append((low[of][:, None] ^ masks).ravel())
-            who.append(np.repeat(of, len(masks)))
+            of = near[away == k]
+            kept = masks[masks[:, 1] <= half - k, 0]
+            found.append(((prints[of] & low)[:, None] ^ kept).ravel())
+            who.append(np.repeat(of, len(kept)))
         variants, owners = np.concatenate(found), np.concatenate(who)
+        del found, who
         order = np.argsort(variants, kind="stable")
         variants, owners = variants[order], owners[order]
+        del order
         first = np.diff(variants, prepend=~variants[:1]) != 0
-        hubs = owners[np.flatnonzero(first)][np.cumsum(first) - 1] if len(owners) else owners
+        hubs = owners[np.flatnonzero(first)][np.cumsum(first) - 1]
         apart = hubs != owners
         pairs = np.unique(hubs[apart] * len(prints) + owners[apart])
-        yield from _forest(pairs // len(prints), pairs % len(prints), prints, root, radius)
+        del variants, owners, first, hubs, apart
+        yield _forest(pairs // len(prints), pairs % len(prints), prints, root, radius)
 
 
 def _forest(a, b, prints, root, radius):
@@ -122,12 +149,21 @@ def _forest(a, b, prints, root, radius):
             x = root[x]
         return x
 
-    close = np.bitwise_count(prints[a] ^ prints[b]) <= radius
-    for x, y in zip(a[close].tolist(), b[close].tolist()):
-        i, j = find(x), find(y)
-        if i != j:
-            root[max(i, j)] = min(i, j)
-            yield x, y
+    tops, joined = np.frombuffer(root, np.int64), array("q")  # tops shares the memory of root
+    for start in range(0, len(a), PAIRS):
+        while not np.array_equal(up := tops[tops], tops):
+            tops[:] = up
+        x, y = a[start : start + PAIRS], b[start : start + PAIRS]
+        apart = tops[x] != tops[y]
+        x, y = x[apart], y[apart]
+        close = np.bitwise_count(prints[x] ^ prints[y]) <= radius
+        for one, other in zip(x[close].tolist(), y[close].tolist()):
+            i, j = find(one), find(other)
+            if i != j:
+                root[max(i, j)] = min(i, j)
+                joined.extend((one, other))
+    found = np.array(joined, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
 
 
 def links(prints: DataFrame, radius: int = RADIUS, region_rows: int = REGION_ROWS) -> DataFrame:
@@ -143,9 +179,8 @@ def links(prints: DataFrame, radius: int = RADIUS, region_rows: int = REGION_ROW
     def run(batches):
         def pairs(region, parts):
             values = np.concatenate(parts)
-            found = list(region_links(region, values.view(np.uint64), bits, radius))
-            a, b = (np.array([p[i] for p in found], np.int64) for i in (0, 1))
-            return pa.record_batch({"a": values[a], "b": values[b]})
+            for a, b in region_links(region, values.view(np.uint64), bits, radius):
+                yield pa.record_batch({"a": values[a], "b": values[b]})
 
         at, parts = None, []
         for batch in batches:
@@ -154,11 +189,11 @@ def links(prints: DataFrame, radius: int = RADIUS, region_rows: int = REGION_ROW
             for a, b in zip(edges, edges[1:]):
                 if regions[a] != at:
                     if parts:
-                        yield pairs(at, parts)
+                        yield from pairs(at, parts)
                     at, parts = int(regions[a]), []
                 parts.append(values[a:b])
         if parts:
-            yield pairs(at, parts)
+            yield from pairs(at, parts)
 
     return dealt.mapInArrow(run, "a long, b long")
 

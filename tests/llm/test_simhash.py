@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -59,6 +60,54 @@ def test_links_lose_no_near_pair(spark, monkeypatch, region_rows, slice_variants
     assert classes(found, values) == classes(near(values, 4), values)
 
 
+CENTER = 0x9E3779B97F4A7C15
+
+
+def cluster(n):
+    """Distinct fingerprints at most 4 bits from one."""
+    draw = np.random.default_rng(3)
+    flipped = draw.integers(0, 64, (2 * n, 4)).astype(np.uint64)
+    found = np.unique(np.uint64(CENTER) ^ np.bitwise_xor.reduce(np.uint64(1) << flipped, axis=1))
+    return np.sort(draw.permutation(found)[:n])
+
+
+def test_pieces_of_a_large_cluster_are_bounded():
+    prints, bits, half = cluster(300_000), 10, 2
+    assert len(prints) == 300_000
+    region = CENTER >> 54
+    ball = {k: len(simhash.flips(list(range(54)), half - k)) for k in range(half + 1)}
+    away = np.bitwise_count((prints >> np.uint64(54)) ^ np.uint64(region))
+    seen = 0
+    for _, depth, near, flipped in simhash.pieces(region, prints, bits, half):
+        inner = [len(simhash.flips(list(range(64 - depth)), half - k)) for k in range(half + 1)]
+        made = sum(int((flipped == k).sum()) * inner[k] for k in range(half + 1))
+        assert 0 < made <= simhash.SLICE_VARIANTS
+        seen += made
+    assert seen == sum(int((away == k).sum()) * ball[k] for k in range(half + 1)) > 90_000_000
+
+
+def test_memory_of_a_region_does_not_grow_with_a_cluster(monkeypatch):
+    monkeypatch.setattr(simhash, "SLICE_VARIANTS", 200_000)
+    prints = cluster(20_000)
+    tracemalloc.start()
+    for _ in simhash.region_links(CENTER >> 54, prints, 10, 4):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000  # about 7 million variants of 8 bytes in five arrays would be 280 MB
+
+
+def test_links_of_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SLICE_VARIANTS", 50_000)
+    monkeypatch.setattr(simhash, "PAIRS", 100)
+    values = cluster(1_500).tolist()
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    rows = spark.createDataFrame([(v,) for v in signed], "print long")
+    found = [(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.links(rows, 4, 200).collect()]
+    assert all((a ^ b).bit_count() <= 4 for a, b in found)
+    assert classes(found, values) == classes(near(values, 4), values)
+
+
 def test_components(spark):
     pairs = [(k, k + 1) for k in range(40)] + [(100, 200), (200, 150), (300, 301)] + [(500 + k, 499) for k in range(60)]
     rows = spark.createDataFrame(pairs, "a long, b long")
