@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from gavelline.llm import bfd_packing, fingerprints, licences, line_dedup, mix_packing, mixing, quality, sharding, simhash, toxicity
+from gavelline.llm import (
+    bfd_packing, fingerprints, licences, line_dedup, mix_packing, mixing, quality, sharding, simhash, spelling, toxicity,
+)
 from gavelline.llm.common import table, whole
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -115,6 +117,59 @@ def op10_licence_scan(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    """All words of all documents with their near words and the form they are a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def _crc_table():
+    """The 256 remainders of the reflected polynomial 0xEDB88320."""
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        yield value
+
+
+# Near words share what is left without one code point: at the same place, or one of them is what is left of the other.
+OP11_SQL = f"""
+with recursive runs as (
+  select id, run, count(*) as k from (
+    select coalesce(cast(doc_id as varchar), '') as id,
+           translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{7,}}')),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from documents) group by all),
+points as (select *, list_transform(string_split(id || ':' || run, ''), lambda c: cast(unicode(c) as bigint)) as p from runs),
+hashed as (
+  select *, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(p, lambda x:
+           case when x < 128 then [x] else [192 + x // 64, 128 + x % 64] end))),
+           lambda c, b: xor(c // 256, [{", ".join(f"{v}::bigint" for v in _crc_table())}][xor(c, b) % 256 + 1])), 4294967295) as h
+  from points),
+words as (
+  select word, cast(sum(k) as bigint) as n from (
+    select k, case when h % 31 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word
+    from hashed) where length(word) >= 7 group by word having sum(k) >= 2),
+lacking as (
+  select word, place, left(word, place - 1) || substr(word, place + 1) as rest
+  from (select word, unnest(range(1, length(word) + 1)) as place from words)),
+near as (
+  select a.word, b.word as other from lacking a join lacking b on a.rest = b.rest and a.place = b.place and a.word <> b.word
+  union select l.word, w.word from lacking l join words w on l.rest = w.word
+  union select w.word, l.word from lacking l join words w on l.rest = w.word),
+best as (
+  select near.word, count(*) as n_near, min({{'below': -o.n, 'word': near.other}}) as found
+  from near join words o on o.word = near.other group by near.word),
+formed as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when -found.below >= 10 * w.n then found.word end as form,
+         case when -found.below >= 10 * w.n then -found.below end as form_n
+  from words w left join best using (word)),
+chains as (
+  select word, form as at from formed where form is not null
+  union all select c.word, f.form from chains c join formed f on f.word = c.at where f.form is not null),
+ends as (select c.word, c.at from chains c join formed f on f.word = c.at where f.form is null)
+select word, form, coalesce(ends.at, word) as root, n, n_near, form_n from formed left join ends using (word)
+"""
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
@@ -127,4 +182,5 @@ QUERIES = {
     "op8_bfd_packing": (op8_bfd_packing, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_licence_scan": (op10_licence_scan, None),
+    "op11_spelling_variants": (op11_spelling_variants, OP11_SQL),
 }
