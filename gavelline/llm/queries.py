@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from gavelline.llm import (
-    bfd_packing, fingerprints, licences, line_dedup, mix_packing, mixing, quality, sharding, simhash, spelling, toxicity,
+    bfd_packing, fingerprints, langid, licences, line_dedup, mix_packing, mixing, quality, sharding, simhash, spelling, toxicity,
+    whitening,
 )
 from gavelline.llm.common import table, whole
 
@@ -170,6 +171,20 @@ select word, form, coalesce(ends.at, word) as root, n, n_near, form_n from forme
 """
 
 
+def op12_language_id(spark, sf_dir):
+    """The language of all documents by a model that has not seen a fifth of the ids."""
+    documents = table(spark, sf_dir, "documents")
+    bucket = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = langid.fitted(documents, bucket != 0)
+    held_out = F.coalesce(bucket == 0, F.lit(False)).alias("held_out")
+    return langid.labelled(documents, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    """All usable vectors in coordinates of variance one along the first components."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 #: name -> (query, SQL or None)
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
@@ -183,4 +198,6 @@ QUERIES = {
     "op9_toxicity": (op9_toxicity, None),
     "op10_licence_scan": (op10_licence_scan, None),
     "op11_spelling_variants": (op11_spelling_variants, OP11_SQL),
+    "op12_language_id": (op12_language_id, None),
+    "op13_embedding_whitening": (op13_embedding_whitening, None),
 }
