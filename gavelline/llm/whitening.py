@@ -8,7 +8,7 @@ one of the wanted components are split further.  The decomposition works on one
 grows with the rows is Spark's: distinct vectors, sums, covariances and the projection of every row by broadcast components.
 
 Entries become whole numbers, x = floor(SCALE * entry) + SHIFT.  Sums and second moments are sums of whole numbers around a whole
-centre near the mean, corrected by the rest of the mean afterwards, so they are exact, and equal however the rows are dealt.
+centre near the mean, corrected by the rest of the mean afterwards, so they are exact, and components are equal however the rows are dealt.
 
 Defined results: rows whose vector is null or holds a null or an entry that is no finite number are left out, as are rows whose
 vector has another length than most have (the longer one on a tie), and empty vectors; equal vectors count once in the fit, and
@@ -71,8 +71,7 @@ def split(a: np.ndarray, shift: float) -> tuple[np.ndarray, np.ndarray] | None:
     for _ in range(2):
         basis, _ = np.linalg.qr(projector @ basis)
     whole, _ = np.linalg.qr(basis, mode="complete")
-    upper, lower = whole[:, :rank], whole[:, rank:]
-    lower, _ = np.linalg.qr(lower - projector @ lower)
+    upper, lower = whole[:, :rank], whole[:, rank:]  # what is orthogonal to an invariant subspace is one too
     if np.linalg.norm(upper.T @ a @ lower) > 1e-12 * np.linalg.norm(a):
         return None
     return upper, lower
