@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 
 from gavelline.operators.lots import prepare_offers, prepare_sales, stored_lots
 
-# Lots of this month are on offer but not sold yet.
-UNSOLD = "2001-11"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -47,7 +44,7 @@ def raw_offers(spark, sf_dir, *names) -> DataFrame:
 
 def raw_sales(spark, sf_dir, *names) -> DataFrame:
     df = lots(spark, sf_dir, *names).drop("auction_type")
-    return stored_lots(df.filter(F.col("price").isNotNull() & (F.col("sale_number") != UNSOLD)))
+    return stored_lots(df.filter(F.col("price").isNotNull()))
 
 
 def prepared_sales(spark, sf_dir, *names) -> DataFrame:
@@ -95,7 +92,7 @@ lots as (
 raw_offers as (
   select * from lots where broker is not null and lot_number is not null and sale_number is not null
                            and sale_date is not null),
-raw_sales as (select * from raw_offers where price is not null and sale_number <> '{UNSOLD}'),
+raw_sales as (select * from raw_offers where price is not null),
 offers as (select * from raw_offers where total_weight_kgs > 0),
 sales as (
   select * replace (coalesce(mark, 'N/A (Pending)') as mark, coalesce(grade, 'N/A (Pending)') as grade,

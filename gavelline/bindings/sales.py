@@ -17,7 +17,9 @@ def _weeks(spark, sf):
 
 
 def _previous(spark, sf):
-    return sequence.previous_sales(_weeks(spark, sf), prepared_sales(spark, sf))
+    """The sale before each: sales and offers read once."""
+    marked = lot_ops.mark_sales(raw_sales(spark, sf)).select("sale_number", F.col("priced").alias("marked"))
+    return sequence.previous_of(marked, raw_offers(spark, sf))
 
 
 def sale_kpis(spark, sf):
@@ -179,7 +181,7 @@ def top_movers(spark, sf):
 
 
 def insights_text(spark, sf):
-    return movements.insights_text(prepared_sales(spark, sf, "mark"), _weeks(spark, sf))
+    return movements.insights_of(raw_sales(spark, sf, "mark"), raw_offers(spark, sf))
 
 
 def prev_grade_mean(spark, sf):
@@ -191,21 +193,21 @@ def prev_broker_total(spark, sf):
 
 
 def grade_lookup(spark, sf):
-    df = market.grade_lookup(prepared_sales(spark, sf, "grade"), _previous(spark, sf))
+    df = market.grade_lookup_of(raw_sales(spark, sf, "grade"), raw_offers(spark, sf))
     return df.select(*_lot_key("grade", "price", "prev_avg_price"))
 
 
 def broker_lookup(spark, sf):
-    df = market.broker_lookup(prepared_sales(spark, sf), _previous(spark, sf))
+    df = market.broker_lookup_of(raw_sales(spark, sf), raw_offers(spark, sf))
     return df.select(*_lot_key("price", "prev_total_value"))
 
 
 def grade_layer(spark, sf):
-    return market.grade_layer(prepared_sales(spark, sf, "grade"), _previous(spark, sf), LOW, HIGH)
+    return market.grade_layer_of(raw_sales(spark, sf, "grade"), raw_offers(spark, sf), LOW, HIGH)
 
 
 def broker_layer(spark, sf):
-    return market.broker_layer(prepared_sales(spark, sf), _previous(spark, sf), LOW, HIGH)
+    return market.broker_layer_of(raw_sales(spark, sf), raw_offers(spark, sf), LOW, HIGH)
 
 
 def price_histogram(spark, sf):

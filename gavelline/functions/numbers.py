@@ -35,17 +35,17 @@ def no_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-# A double below 2^62 is the sum of whole numbers of these units, each small enough for a long to add up 2^36 of them.
+# A double below 2^62 is the sum of whole numbers of these units.  Longs add up 2^24 values of that size, and 2^36 values below
+# 2^50; sums beyond end with an error, never with a wrong number.
 _GRID = 2.0**62
 _HIGH = 24  # bits of the lower part of the whole number
 _FIRST, _SECOND = 26, 27  # bits of the two parts of the fraction
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum without loss, independent of the order of rows; NaN is skipped.
+def exact_parts(c: Column, where: Column | None = None) -> dict[str, Column]:
+    """What exact_total needs the sums of: a value split without rounding; of rows that fail the test, nothing.
 
-    Every value is split without rounding into four whole numbers that are added up as longs, and the sums are put together
-    once, at the end.  Only what does not fit is added as doubles: bits below 2^-53, infinite values and those from 2^62.
+    NaN is skipped.  Splitting does not depend on the test, so that several tests of one value share it.
     """
     value = no_nan(c)
     fits = F.when(F.abs(value) < _GRID, value)
@@ -54,24 +54,40 @@ def exact_sum(c: Column) -> Column:
     first = scaled.cast("bigint")
     rest = (scaled - first) * 2.0**_SECOND
     second = rest.cast("bigint")
+    parts = {
+        "high": F.shiftright(whole, _HIGH), "low": whole.bitwiseAND(F.lit((1 << _HIGH) - 1)), "first": first, "second": second,
+        "tail": rest - second, "beyond": F.when(F.abs(value) >= _GRID, value),
+    }
+    return parts if where is None else {name: F.when(where, part) for name, part in parts.items()}
+
+
+def exact_total(sums: dict[str, Column]) -> Column:
+    """The sum of the values, put together once from the sums of their parts."""
     low_bits, first_bits, second_bits = ((1 << n) - 1 for n in (_HIGH, _FIRST, _SECOND))
-    sum_second = F.sum(second)
-    sum_first = F.sum(first) + F.shiftright(sum_second, _SECOND)
-    sum_low = F.sum(whole.bitwiseAND(F.lit(low_bits))) + F.shiftright(sum_first, _FIRST)
-    sum_high = F.sum(F.shiftright(whole, _HIGH)) + F.shiftright(sum_low, _HIGH)
-    units = sum_first.bitwiseAND(F.lit(first_bits)) * (1 << _SECOND) + sum_second.bitwiseAND(F.lit(second_bits))
+    sum_first = sums["first"] + F.shiftright(sums["second"], _SECOND)
+    sum_low = sums["low"] + F.shiftright(sum_first, _FIRST)
+    sum_high = sums["high"] + F.shiftright(sum_low, _HIGH)
+    units = sum_first.bitwiseAND(F.lit(first_bits)) * (1 << _SECOND) + sums["second"].bitwiseAND(F.lit(second_bits))
     # A negative sum is a whole number less a fraction, as a positive one is a whole number and a fraction.
     short = F.when((sum_high < 0) & (units > 0), 1).otherwise(0)
     units = units - F.lit(1 << (_FIRST + _SECOND)) * short
     integer = sum_high.cast("double") * float(1 << _HIGH) + (sum_low.bitwiseAND(F.lit(low_bits)) + short).cast("double")
-    inside = integer + (units.cast("double") + F.sum(rest - second)) / 2.0 ** (_FIRST + _SECOND)
-    beyond = F.sum(F.when(F.abs(value) >= _GRID, value))
-    return F.when(beyond.isNull(), inside).otherwise(beyond + F.coalesce(inside, F.lit(0.0)))
+    inside = integer + (units.cast("double") + sums["tail"]) / 2.0 ** (_FIRST + _SECOND)
+    return F.when(sums["beyond"].isNull(), inside).otherwise(sums["beyond"] + F.coalesce(inside, F.lit(0.0)))
+
+
+def exact_sum(c: Column, where: Column | None = None) -> Column:
+    """Sum without loss, independent of the order of rows; NaN is skipped, and rows that fail the test.
+
+    Only what does not fit is added as doubles: bits below 2^-53, infinite values and those from 2^62.
+    """
+    return exact_total({name: F.sum(part) for name, part in exact_parts(c, where).items()})
 
 
-def exact_mean(c: Column) -> Column:
-    """Unweighted mean over the non-null values, independent of the order of rows."""
-    return F.when(F.count(c) > 0, exact_sum(c) / F.count(c))
+def exact_mean(c: Column, where: Column | None = None) -> Column:
+    """Unweighted mean over the non-null values of rows that pass the test, independent of the order of rows."""
+    n = F.count(c if where is None else F.when(where, c))
+    return F.when(n > 0, exact_sum(c, where) / n)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -62,14 +62,22 @@ def is_priced() -> Column:
     return F.coalesce(good & F.col("sale_number").isNotNull(), F.lit(False))
 
 
-def prepare_sales(raw: DataFrame) -> DataFrame:
-    """Sales with a positive weight and price, their value, and labels in place of missing names."""
-    df = total_weight(raw).filter(is_priced())
-    df = df.withColumn("value_usd", F.col("price") * F.col("total_weight_kgs"))
+def mark_sales(raw: DataFrame) -> DataFrame:
+    """Sales with their weight and value, labels in place of missing names, and a flag `priced` for those that count.
+
+    Rows that do not count stay, as their sales exist all the same.
+    """
+    df = total_weight(raw)
+    df = df.withColumns({"priced": is_priced(), "value_usd": F.col("price") * F.col("total_weight_kgs")})
     names = {c: F.coalesce(F.col(c), F.lit(PLACEHOLDER)) for c in ("mark", "grade", "buyer", "broker") if c in df.columns}
     return df.withColumns(names)
 
 
+def prepare_sales(raw: DataFrame) -> DataFrame:
+    """Sales with a positive weight and price, their value, and labels in place of missing names."""
+    return mark_sales(total_weight(raw).filter(is_priced())).drop("priced")
+
+
 def prepare_offers(raw: DataFrame) -> DataFrame:
     """Offers with a positive weight."""
     return total_weight(raw).filter(F.col("total_weight_kgs") > 0)

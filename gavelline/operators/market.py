@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from gavelline.constants import MAX_BINS, PLACEHOLDER, TOP_BUYERS
 from gavelline.functions.numbers import exact_mean, exact_sum
+from gavelline.operators.lots import mark_sales
+from gavelline.operators.sequence import previous_of
 from gavelline.session import cut
 
 METRICS = {"value": "value_usd", "volume": "total_weight_kgs"}
@@ -99,28 +101,78 @@ def broker_lookup(prepared: DataFrame, previous: DataFrame) -> DataFrame:
     return prepared.join(prev_broker_total(prepared, previous), ["sale_number", "broker"], "left")
 
 
+def _with_previous(raw_sales: DataFrame, raw_offers: DataFrame, lookup) -> DataFrame:
+    """A lookup over stored sales and offers; the sales are written once with their values, all else derives from that."""
+    marked = cut(mark_sales(raw_sales))
+    previous = previous_of(marked.select("sale_number", F.col("priced").alias("marked")), raw_offers)
+    return lookup(marked.filter("priced").drop("priced"), previous)
+
+
+def grade_lookup_of(raw_sales: DataFrame, raw_offers: DataFrame) -> DataFrame:
+    """grade_lookup over stored sales and offers, each read once."""
+    return _with_previous(raw_sales, raw_offers, grade_lookup)
+
+
+def broker_lookup_of(raw_sales: DataFrame, raw_offers: DataFrame) -> DataFrame:
+    """broker_lookup over stored sales and offers, each read once."""
+    return _with_previous(raw_sales, raw_offers, broker_lookup)
+
+
+# Figures of one axis per sale: those shown obey the interval, those that the next sale compares with do not.
+_AXES = {
+    "grade": lambda shown, priced: {
+        "avg_price": exact_mean(F.col("price"), shown), "volume": exact_sum(F.col("total_weight_kgs"), shown),
+        "prev_avg_price": exact_mean(F.col("price"), priced),
+    },
+    "broker": lambda shown, priced: {
+        "total_value": exact_sum(F.col("value_usd"), shown), "avg_price": exact_mean(F.col("price"), shown),
+        "prev_total_value": exact_sum(F.col("value_usd"), priced),
+    },
+}
+
+
+def _axis_figures(marked: DataFrame, axis: str, low, high) -> DataFrame:
+    shown = F.col("priced") & _inside(low, high)
+    figures = _AXES[axis](shown, F.col("priced"))
+    return marked.groupBy("sale_number", axis).agg(
+        F.count_if("priced").alias("priced"), F.count_if(shown).alias("shown"), *[c.alias(n) for n, c in figures.items()]
+    )
+
+
+def _layer(figures: DataFrame, previous: DataFrame, axis: str) -> DataFrame:
+    now, before = ([c for c in figures.columns[4:] if c.startswith("prev_") == old] for old in (False, True))
+    current = figures.filter("shown > 0").select("sale_number", axis, *now)
+    earlier = _as_previous(figures.filter("priced > 0").select("sale_number", axis, *before), previous)
+    return current.join(earlier, ["sale_number", axis], "full")
+
+
+def _layer_of_prepared(prepared: DataFrame, previous: DataFrame, axis: str, low, high) -> DataFrame:
+    return _layer(cut(_axis_figures(prepared.withColumn("priced", F.lit(True)), axis, low, high)), previous, axis)
+
+
+def _layer_of_stored(raw_sales: DataFrame, raw_offers: DataFrame, axis: str, low, high) -> DataFrame:
+    figures = cut(_axis_figures(mark_sales(raw_sales), axis, low, high))
+    return _layer(figures, previous_of(figures.select("sale_number", (F.col("priced") > 0).alias("marked")), raw_offers), axis)
+
+
 def grade_layer(prepared: DataFrame, previous: DataFrame, low=None, high=None) -> DataFrame:
     """Current and previous figures of all grades on one axis; only the current ones obey the interval."""
-    shown, price = _inside(low, high), F.col("price")
-    figures = cut(prepared.groupBy("sale_number", "grade").agg(
-        F.count_if(shown).alias("shown"), exact_mean(F.when(shown, price)).alias("avg_price"),
-        exact_sum(F.when(shown, F.col("total_weight_kgs"))).alias("volume"), exact_mean(price).alias("prev_avg_price"),
-    ))
-    current = figures.filter("shown > 0").select("sale_number", "grade", "avg_price", "volume")
-    earlier = _as_previous(figures.select("sale_number", "grade", "prev_avg_price"), previous)
-    return current.join(earlier, ["sale_number", "grade"], "full")
+    return _layer_of_prepared(prepared, previous, "grade", low, high)
 
 
 def broker_layer(prepared: DataFrame, previous: DataFrame, low=None, high=None) -> DataFrame:
     """Current and previous figures of all brokers on one axis; only the current ones obey the interval."""
-    shown, value = _inside(low, high), F.col("value_usd")
-    figures = cut(prepared.groupBy("sale_number", "broker").agg(
-        F.count_if(shown).alias("shown"), exact_sum(F.when(shown, value)).alias("total_value"),
-        exact_mean(F.when(shown, F.col("price"))).alias("avg_price"), exact_sum(value).alias("prev_total_value"),
-    ))
-    current = figures.filter("shown > 0").select("sale_number", "broker", "total_value", "avg_price")
-    earlier = _as_previous(figures.select("sale_number", "broker", "prev_total_value"), previous)
-    return current.join(earlier, ["sale_number", "broker"], "full")
+    return _layer_of_prepared(prepared, previous, "broker", low, high)
+
+
+def grade_layer_of(raw_sales: DataFrame, raw_offers: DataFrame, low=None, high=None) -> DataFrame:
+    """grade_layer over stored sales and offers, each read once."""
+    return _layer_of_stored(raw_sales, raw_offers, "grade", low, high)
+
+
+def broker_layer_of(raw_sales: DataFrame, raw_offers: DataFrame, low=None, high=None) -> DataFrame:
+    """broker_layer over stored sales and offers, each read once."""
+    return _layer_of_stored(raw_sales, raw_offers, "broker", low, high)
 
 
 def buyer_totals(prepared: DataFrame, metric: str = "value") -> DataFrame:

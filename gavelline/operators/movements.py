@@ -9,7 +9,8 @@ from gavelline.constants import (
 )
 from gavelline.functions.numbers import exact_mean, exact_sum
 from gavelline.functions.text import fixed
-from gavelline.operators.sequence import previous_sales
+from gavelline.operators.lots import mark_sales
+from gavelline.operators.sequence import previous_of, previous_sales
 from gavelline.session import cut
 
 
@@ -84,13 +85,30 @@ def top_movers(metrics: DataFrame) -> DataFrame:
     return ranked("riser", F.desc("change_pct")).union(ranked("faller", F.asc("change_pct")))
 
 
+def insights_of(raw_sales: DataFrame, raw_offers: DataFrame) -> DataFrame:
+    """insights_text over stored sales and offers, each read once."""
+    marked = mark_sales(raw_sales)
+    bars = cut(marked.groupBy("sale_number", "mark", "grade").agg(
+        F.count_if("priced").alias("n"), exact_mean(F.col("price"), F.col("priced")).alias("close"),
+        F.max(F.when(F.col("priced"), F.col("price"))).alias("high"), F.min(F.when(F.col("priced"), F.col("price"))).alias("low"),
+        exact_sum(F.col("total_weight_kgs"), F.col("priced")).alias("volume"),
+    ))
+    earlier = previous_of(bars.select("sale_number", (F.col("n") > 0).alias("marked")), raw_offers)
+    bars = bars.filter("n > 0").drop("n")
+    return insights_from(bars, cut(joined_movements(bars)), earlier)
+
+
 def insights_text(prepared: DataFrame, weeks: DataFrame) -> DataFrame:
     """The written insights of every week, fixed sentences where there is nothing to tell.
 
     The bars are written first; all that is told derives from them.
     """
     bars = cut(ohlc(prepared))
-    moves = cut(joined_movements(bars))
+    return insights_from(bars, cut(joined_movements(bars)), previous_sales(weeks, bars))
+
+
+def insights_from(bars: DataFrame, moves: DataFrame, earlier: DataFrame) -> DataFrame:
+    """The insights from bars and movements that are there already."""
     movers = top_movers(movement_metrics(moves))
     rising = F.col("direction") == "riser"
     line = F.concat(
@@ -110,7 +128,6 @@ def insights_text(prepared: DataFrame, weeks: DataFrame) -> DataFrame:
     ).alias("told"))
     sold = bars.select("sale_number", F.lit(True).alias("sold")).distinct()
     compared = moves.select("sale_number", F.lit(True).alias("compared")).distinct()
-    earlier = previous_sales(weeks, bars)
     df = earlier.join(sold, "sale_number", "left").join(compared, "sale_number", "left").join(told, "sale_number", "left")
     text = (
         F.when(F.col("sold").isNull(), F.lit(NO_CURRENT_DATA))

@@ -6,6 +6,7 @@ Sale numbers order as text.  The windows below run over distinct sale numbers, n
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def sale_universe(raw_sales: DataFrame, raw_offers: DataFrame) -> DataFrame:
     """Every sale number that occurs in sales or offers."""
     both = raw_sales.select("sale_number").union(raw_offers.select("sale_number"))
@@ -38,6 +39,14 @@ def previous_sales(weeks: DataFrame, prepared: DataFrame) -> DataFrame:
     return _flagged(weeks, prepared).select("sale_number", found.alias("previous_sale"))
 
 
+def previous_of(flagged: DataFrame, raw_offers: DataFrame) -> DataFrame:
+    """Each sale and the one before, of sales with a flag `marked` on those that count as one before, and of offers."""
+    rows = flagged.select("sale_number", "marked").union(raw_offers.select("sale_number", F.lit(False)))
+    known = rows.filter("sale_number is not null").groupBy("sale_number").agg(F.max("marked").alias("marked"))
+    found = latest_before(F.when(F.col("marked"), F.col("sale_number")))
+    return known.select("sale_number", found.alias("previous_sale"))
+
+
 def next_sales(weeks: DataFrame, offered: DataFrame) -> DataFrame:
     """For each week the smallest offered sale number above it, or null."""
     found = earliest_after(F.when(F.col("marked"), F.col("sale_number")))

@@ -17,13 +17,16 @@ def report_tables(sales: DataFrame, offers: DataFrame, location: str) -> dict[st
     """The parts of all reports as tables with a sale_number column, from stored sales and offers."""
     raw_sales, raw_offers = lots.stored_lots(sales), lots.stored_lots(offers)
     sold, offered = cut(lots.prepare_sales(raw_sales)), cut(lots.prepare_offers(raw_offers))
-    figures = kpis.weekly_kpis(raw_sales, raw_offers)
+    figures = cut(kpis.weekly_kpis(raw_sales, raw_offers))
     weeks = figures.select("sale_number")
     previous = sequence.previous_sales(weeks, sold)
-    moves = cut(movements.movement_metrics(movements.movement_join(sold)))
+    bars = cut(movements.ohlc(sold))
+    joined = cut(movements.joined_movements(bars))
+    moves = movements.movement_metrics(joined)
+    insights = movements.insights_from(bars, joined, previous)
     dates = sequence.sale_dates(raw_sales, offered, arrival(raw_sales))
     return {
-        "documents": documents(figures, dates, movements.insights_text(sold, weeks), kpis.outlook(raw_sales, raw_offers, location), location),
+        "documents": documents(figures, dates, insights, kpis.outlook(raw_sales, raw_offers, location), location),
         "raw_sales_data": lots.raw_export(sold),
         "source_sales_week": sold,
         "source_prev_grade_metrics": market.prev_grade_mean(sold, previous),
