@@ -20,7 +20,7 @@ null; further columns are not read.
 
 import base64
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -35,7 +35,7 @@ VOCABULARY = "byte_bpe_multi_50k"
 UNKNOWN = "und"
 #: Letters of a stretch; longer runs of letters are cut.
 STRETCH = 64
-WORD = r"\p{L}[\p{L}\p{M}]{0,%d}" % (STRETCH - 1)
+WORD = r"\p{L}[\p{L}\p{M}]*+"
 #: Documents of a language in a fit, rounds of the fit, and occurrences that every piece has in every language beforehand.
 MOST, ROUNDS, BEFORE = 1000, 3, 0.1
 #: Expected counts are added up in such parts of one, so that sums do not depend on their order.
@@ -57,46 +57,63 @@ class Lattice(NamedTuple):
 
 
 class Pieces:
-    """A vocabulary whose occurrences are found by an automaton."""
+    """The pieces of a vocabulary that words can hold, as a tree of bytes in one matrix, walked for all places at a time."""
 
     def __init__(self, name: str):
-        import ahocorasick
         import public_tokenizers
 
-        self.automaton = ahocorasick.Automaton()
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
-            for piece, number in map(bytes.split, lines):
-                piece = base64.b64decode(piece).decode("latin-1")
-                self.automaton.add_word(piece, int(number) << 10 | len(piece))
-        self.size = len(self.automaton)
-        self.automaton.make_automaton()
+            found = [base64.b64decode(line.split()[0]) for line in lines]
+        inside = bytes([*range(ord("a"), ord("z") + 1), *range(128, 256)])
+        found = [p for p in found if not p[p[:1] == b" " :].translate(None, inside)]
+        self.number = {piece: k for k, piece in enumerate(found)}
+        self.kind = np.zeros(256, np.int32)  # of a byte; the first one ends every walk
+        self.kind[list(b" " + inside)] = np.arange(1, len(inside) + 2)
+        nodes: dict[tuple[int, int], int] = {}
+        ends = {}
+        for piece, k in self.number.items():
+            node = 0
+            for byte in piece:
+                node = nodes.setdefault((node, byte), len(nodes) + 1)
+            ends[node] = k
+        self.child = np.zeros((len(nodes) + 1, len(inside) + 2), np.int32)
+        for (node, byte), below in nodes.items():
+            self.child[node, self.kind[byte]] = below
+        self.piece = np.full(len(nodes) + 1, -1, np.int32)
+        self.piece[list(ends)] = list(ends.values())
+        self.size = len(self.number)
 
     def lattice(self, words: list[bytes]) -> Lattice:
-        # the mark between words is no byte, so that no piece goes across it
-        found = self.automaton.iter("Ā".join(w.decode("latin-1") for w in words))
-        edges = np.fromiter(chain.from_iterable(found), np.int64).reshape(-1, 2)
+        kind = self.kind[np.frombuffer(b"\n".join(words) + b"\n", np.uint8)]
         size = np.fromiter(map(len, words), np.int64, len(words))
-        first = np.cumsum(size + 1) - size - 1
-        word = np.searchsorted(first, edges[:, 0], side="right") - 1
-        length = edges[:, 1] & 1023
-        end = edges[:, 0] + 1
-        return Lattice(word, edges[:, 1] >> 10, end - length, end, end - first[word], first, first + size)
+        last = np.cumsum(size + 1) - 1
+        first = last - size
+        at, node = np.flatnonzero(kind), 0
+        edges, depth = [], 0
+        while len(at):
+            node = self.child[node, kind[at + depth]]
+            at, node, depth = at[node > 0], node[node > 0], depth + 1
+            here = self.piece[node] >= 0
+            edges.append(np.stack([at[here], at[here] + depth, self.piece[node[here]]]))
+        start, end, piece = np.concatenate(edges, axis=1)
+        word = np.repeat(np.arange(len(words)), size + 1)[start]
+        reach = end - first[word]
+        order = np.lexsort((end, reach))
+        return Lattice(word[order], piece[order], start[order], end[order], reach[order], first, last)
 
 
 @lru_cache(maxsize=2)
 def pieces(name: str) -> Pieces:
-    """The worker's automaton of a vocabulary, by its file name without ending."""
+    """The worker's tree of a vocabulary, by its file name without ending."""
     return Pieces(name)
 
 
 def _steps(by: np.ndarray, to: np.ndarray):
-    """Edges in the order of `by`, a slice per value; with each the places in `to` that they lead to and where these begin."""
-    order = np.argsort(by, kind="stable")
-    bounds = np.append(np.flatnonzero(np.diff(by[order], prepend=-1)), len(order))
+    """Slices of edges that are sorted by `by` and `to`: one per value of `by`, with the places in `to` and where each begins."""
+    bounds = np.append(np.flatnonzero(np.diff(by, prepend=-1)), len(by))
     for a, b in zip(bounds[:-1], bounds[1:]):
-        edges = order[a:b]
-        starts = np.flatnonzero(np.diff(to[edges], prepend=-1))
-        yield edges, to[edges[starts]], starts
+        starts = np.flatnonzero(np.diff(to[a:b], prepend=-1))
+        yield slice(a, b), to[a:b][starts], starts
 
 
 def _log_sum(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -118,10 +135,10 @@ def backward(lattice: Lattice, weight: np.ndarray) -> np.ndarray:
     """Per place the log probability of all segmentations of the word from it on."""
     at = np.zeros((int(lattice.last[-1]) + 1, weight.shape[1]))
     left = lattice.last[lattice.word] - lattice.start
-    by_start = np.lexsort((lattice.start, left))
-    for edges, places, starts in _steps(left[by_start], lattice.start[by_start]):
-        edges = by_start[edges]
-        at[places] = _log_sum(at[lattice.end[edges]] + weight[edges], starts)
+    order = np.lexsort((lattice.start, left))
+    end, weight = lattice.end[order], weight[order]
+    for edges, places, starts in _steps(left[order], lattice.start[order]):
+        at[places] = _log_sum(at[end[edges]] + weight[edges], starts)
     return at
 
 
@@ -161,6 +178,18 @@ class Model(NamedTuple):
     vocabulary: str
 
 
+def words_of(text: str | None, pattern, part: int = 1 << 17):
+    """The words of a text as lists, several for a text that is very long; long runs are cut into stretches."""
+    text = (text or "").lower()
+    found = (m.group() for m in pattern.finditer(text)) if len(text) > 8 * part else iter([])
+    words = list(islice(found, part)) or pattern.findall(text)
+    while words:
+        if max(map(len, words)) > STRETCH:
+            words = [w[k : k + STRETCH] for w in words for k in range(0, len(w), STRETCH)]
+        yield words
+        words = list(islice(found, part))
+
+
 class Reader:
     """A worker's memory of words while it scores texts."""
 
@@ -172,26 +201,36 @@ class Reader:
         self.forget()
 
     def forget(self):
-        self.place, self.known = _Places(), np.zeros((0, len(self.model.langs)))
+        self.place, self.known = _Places(), np.zeros((1024, len(self.model.langs)))
 
     def likelihoods(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Log likelihood per language of each text, None without a letter."""
         if len(self.place) > self.most:
             self.forget()
-        return [self._one(t) for t in texts]
-
-    def _one(self, text: str | None) -> np.ndarray | None:
-        found, total = (m.group() for m in self.words.finditer((text or "").lower())), None
-        while part := list(islice(found, 100_000)):
-            places = np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))
-            if new := self.place.new:
-                fresh = log_probabilities([as_bytes(w) for w in new], self.model.table, self.model.vocabulary)
-                self.known, self.place.new = np.concatenate([self.known, fresh]), []
-            n = np.bincount(places, minlength=len(self.known))
-            used = np.flatnonzero(n)
-            sums = n[used] @ self.known[used]
-            total = sums if total is None else total + sums
-        return total
+        waiting, out = [], [None] * len(texts)
+        for k, text in enumerate(texts):
+            for part in words_of(text, self.words):
+                waiting.append((k, np.fromiter(map(self.place.__getitem__, part), np.int32, len(part))))
+                if len(self.place.new) > self.most:  # a very long text
+                    self._add(waiting, out)
+                    self.forget()
+        self._add(waiting, out)
+        return out
+
+    def _add(self, waiting: list, out: list) -> None:
+        """Look at the words that are new, then add up what waits."""
+        if new := self.place.new:
+            end = len(self.place)
+            if end > len(self.known):
+                more = np.zeros((max(end, 2 * len(self.known)) - len(self.known), self.known.shape[1]))
+                self.known = np.concatenate([self.known, more])
+            self.known[end - len(new) : end] = log_probabilities([as_bytes(w) for w in new], self.model.table, self.model.vocabulary)
+            self.place.new = []
+        for k, places in waiting:
+            if len(places):
+                sums = self.known[places].sum(axis=0)
+                out[k] = sums if out[k] is None else out[k] + sums
+        waiting.clear()
 
 
 class _Places(dict):
@@ -225,8 +264,7 @@ def word_counts(documents: DataFrame, langs: list[str]) -> DataFrame:
         for batch in batches:
             for part in slices([batch]):
                 for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
-                    found = (m.group() for m in pattern.finditer((text or "").lower()))
-                    while words := list(islice(found, 100_000)):
+                    for words in words_of(text, pattern):
                         word = pa.array(map(as_bytes, words), pa.binary())
                         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.int32()), word], names=["lang", "word"])
 

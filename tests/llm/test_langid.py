@@ -29,12 +29,17 @@ def segmentations(word, vocabulary):
 
 @pytest.fixture(scope="module")
 def vocabulary():
+    """The pieces that words can hold, read without the operator's tree."""
     import base64
 
     import public_tokenizers
 
     with open(public_tokenizers.path(langid.VOCABULARY + ".tiktoken"), "rb") as lines:
-        return {base64.b64decode(p): int(k) for p, k in map(bytes.split, lines)}
+        found = [base64.b64decode(line.split()[0]) for line in lines]
+    numbers = langid.pieces(langid.VOCABULARY).number
+    usable = [p for p in found if all(c in range(97, 123) or c > 127 or (c == 32 and not k) for k, c in enumerate(p))]
+    assert set(usable) == set(numbers) and all(bytes([c]) in numbers for c in [32, *range(97, 123), *range(128, 256)])
+    return numbers
 
 
 def test_sum_over_all_segmentations(vocabulary):
