@@ -209,10 +209,18 @@ def drop_empty(spark, sf):
 
 
 def lot_csv_scan(spark, sf):
-    """Sheets written as delimited files, then read back, mapped and typed."""
+    """Sheets written as delimited files, then read back and mapped.
+
+    Marks begin with a size in inches, whose sign stands in a cell without quotes; names are quoted and hold signs and line ends.
+    """
     folder = run_folder(spark, "sheets")
-    quoted = F.transform("cells", lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
-    lines = _grid(spark, sf).withColumn("value", F.array_join(quoted, ","))
+
+    def written(c):
+        quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+        name = F.concat(F.lit('"'), c, F.lit('\n""and sons"", ltd"'))
+        return F.when(c.rlike("^[MEG][0-9]+$"), F.concat(F.lit('5" '), c)).when(c.startswith("Supplier"), name).otherwise(quoted)
+
+    lines = _grid(spark, sf).withColumn("value", F.array_join(F.transform("cells", written), ","))
     lines = lines.repartitionByRange("file").sortWithinPartitions("file", "row_pos")
     lines.select("file", "value").write.partitionBy("file").text(folder)
     # the folder of a file carries its name
@@ -455,8 +463,8 @@ QUERIES = {
                case when l_linenumber = 1 then l_quantity end as quantity
         from lineitem where l_returnflag <> 'R' or l_linenumber = 1"""),
     "lot_csv_scan": (lot_csv_scan, _SHEETS + f"""
-        select file, cast(s_suppkey as varchar) as lot_number, s_name as broker, {_MARK} as mark, weight as quantity_kgs,
-               price from cells"""),
+        select file, cast(s_suppkey as varchar) as lot_number, s_name || chr(10) || '"and sons", ltd' as broker,
+               '5" ' || {_MARK} as mark, weight as quantity_kgs, price from cells"""),
     "append_unique": (append_unique, _APPEND + """
         select l_orderkey, coalesce(line, -1) as l_linenumber, l_partkey, l_suppkey, l_quantity from added"""),
     "ingest_counts": (ingest_counts, _APPEND + """

@@ -86,14 +86,14 @@ def _filled_names(grid: DataFrame, headers: DataFrame, matched: DataFrame) -> Da
     return seen.select("file", F.col("spot.name").alias("name"), F.lit(True).alias("filled")).distinct()
 
 
-def alias_map(grid: DataFrame, aliases: dict | None = None, keywords: list[str] | None = None) -> DataFrame:
+def alias_map(grid: DataFrame, aliases: dict | None = None, keywords: list[str] | None = None, written: bool = False) -> DataFrame:
     """All sheets of all files as one table with the target columns, in text.
 
-    Per file the first matching column in sheet order wins a target; columns without any value do not take part, and a
+    The grid is written first, unless it comes from a written table.  Per file the first matching column in sheet order wins a target; columns without any value do not take part, and a
     sheet that lacks the winning column has nulls there.  Targets nobody names are null, other columns are dropped.
     """
     aliases = aliases or LOT_ALIASES
-    grid = cut(grid)  # files are parsed once
+    grid = grid if written else cut(grid)  # it is read several times
     headers = cut(with_header(grid, keywords))
     matched = _matched_headers(headers, aliases)
     filled = _filled_names(grid, headers, matched)

@@ -13,7 +13,7 @@ from gavelline.operators.ingest import (
 from gavelline.operators.lots import split_lots
 from gavelline.operators.sheets import alias_map
 from gavelline.session import cut
-from gavelline.sources.files import is_delimited, list_files, read_grid
+from gavelline.sources.files import is_delimited, list_files, plain_path, read_grid
 from gavelline.sources.store import known_keys, read_store, write_batch
 
 LEDGER_KEY = ["file_identifier", "data_type"]
@@ -31,7 +31,7 @@ def store_lots(grid: DataFrame, files: DataFrame, root: str, location: str, batc
     everything after reads the results.  A batch that is written again replaces itself, so a repeated attempt changes nothing.
     """
     spark = grid.sparkSession
-    landed = cut(alias_map(grid))
+    landed = cut(alias_map(grid, written=True))
     stamp = F.lit(when.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
     lots = typed_lots(landed, location).join(files.select("file", "file_identifier"), "file")
     lots = lots.withColumnRenamed("file_identifier", "source_file_identifier").withColumn("processed_timestamp", stamp)
@@ -61,9 +61,9 @@ def ingest_files(files: DataFrame, root: str, location: str, batch: str, when: d
     spark = files.sparkSession
     todo = files.filter(F.col("data_type").isin(OFFER, SALE, SUMMARY))
     todo = cut(incremental_skip(todo, ledger(spark, root, without=batch), LEDGER_KEY))
-    # paths of new files only: the driver has listed them anyway
+    # paths of new files only: the driver's file index holds all of them anyway
     lots = todo.filter((F.col("data_type") != SUMMARY) & (F.col("length") > 0) & is_delimited(F.col("file")))
-    grid = read_grid(spark, [r["path"] for r in lots.select("path").collect()])
+    grid = read_grid(spark, [plain_path(r["path"]) for r in lots.select("path").collect()])
     return store_lots(grid, todo.select("file", "file_identifier", "data_type"), root, location, batch, when)
 
 

@@ -1,11 +1,13 @@
 """Folders of delimited lot sheets."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelline.constants import COMMENTARY, OFFER, SALE, SUMMARY
-from gavelline.functions.text import strip
 from gavelline.schemas import GRID
+from gavelline.sources.delimited import records
 
 # Files that are no delimited text; they are listed but not read.
 _BINARY = r"(?i)\.(xlsx?|xlsm|docx?|pdf)$"
@@ -58,17 +60,6 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return typed_files(spark.read.format("binaryFile").load(folder).select("path", "modificationTime", "length"))
 
 
-def csv_cells(line: Column) -> Column:
-    """Cells of one delimited record; quoted cells may hold commas and doubled quotes."""
-    marked = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]++|"")*+"|[^,]*+)'), F.lit(1))
-
-    def bare(cell):
-        inside = F.replace(F.substr(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
-        return F.when(F.startswith(cell, F.lit('"')) & (F.length(cell) > 1), inside).otherwise(cell)
-
-    return F.transform(marked, bare)
-
-
 def _file_name(named_by_folder: bool = False) -> Column:
     name = F.col("_metadata.file_name")
     # names come percent-encoded; a plus sign in them is a plain plus sign
@@ -81,24 +72,21 @@ def _file_name(named_by_folder: bool = False) -> Column:
     return decoded.alias("file")
 
 
-def _as_grid(lines: DataFrame) -> DataFrame:
-    cells = csv_cells(F.regexp_replace("line", "^\ufeff", ""))
-    return lines.select("file", F.lit(0).alias("sheet"), F.col("row_pos").cast("bigint").alias("row_pos"), cells.alias("cells"))
-
-
-def whole_files(texts: DataFrame) -> DataFrame:
-    """Grid of (file, value) rows that hold a whole file each; quoted line breaks stay inside a record."""
-    record = r'(?:[^"\r\n]++|"[^"]*+"|")++'
-    lines = F.filter(F.regexp_extract_all("value", F.lit(record), F.lit(0)), lambda r: strip(r) != "")
-    return _as_grid(texts.select("file", F.posexplode(lines).alias("row_pos", "line")))
+def plain_path(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def read_grid(spark: SparkSession, paths: list[str], named_by_folder: bool = False) -> DataFrame:
     """Records of delimited files as (file, sheet, row_pos, cells); blank lines do not count.
 
-    A file is split into records by one task whatever its size, so that quoted line breaks stay inside a record; many files
-    are read at once.  A file is known by its own name, or by the folder `file=<name>` it lies in.
+    Many files are read at once, and a large one by many tasks.  A file is known by its own name, or by the folder
+    `file=<name>` it lies in.  The rows come from a written table.
     """
     if not paths:
         return spark.createDataFrame([], GRID)
-    return whole_files(spark.read.text(list(paths), wholetext=True).select("value", _file_name(named_by_folder)))
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        _file_name(named_by_folder), F.xxhash64("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_block_start").alias("block"), F.make_valid_utf8("value").alias("value"),
+    )
+    return records(lines).select("file", F.lit(0).alias("sheet"), "row_pos", "cells")
