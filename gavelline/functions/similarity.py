@@ -1,4 +1,4 @@
-"""Headline similarity: a whole-number ratio from 0 to 100, and the keys that similar texts must share.
+"""Headline similarity: a whole-number ratio from 0 to 100, and the segments of which similar texts must share one.
 
 The ratio of a and b is round(100 * (1 - indel / (len(a) + len(b)))), where indel counts inserted and deleted
 characters.  Two texts count as alike above 90, which means indel < 0.095 * (len(a) + len(b)).
@@ -8,6 +8,7 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,8 +18,6 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 THRESHOLD = 90
-GRAM = 3
-SHARED = 24
 
 
 def common_length(a: str, b: str) -> int:
@@ -43,33 +42,26 @@ def ratio(a: str, b: str) -> int:
     return round(100 * (2 * common_length(a, b) / total))
 
 
-@F.pandas_udf(T.BooleanType())
-def is_alike(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([ratio(x, y) > THRESHOLD for x, y in zip(a, b)])
+def whole_edits(a: int, b: int) -> int:
+    """How many characters texts of these lengths can differ by at most, inserted and deleted, if they are alike."""
+    return (19 * (a + b) - 1) // 200
 
 
-def broken_grams(length: int, gram: int = GRAM) -> int:
-    """How many grams of a text of this length an alike text can lack at most.
+def cuts(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of the segments of a text: one more than a text that is not longer can differ by.
 
-    A deleted character breaks up to `gram` grams, an inserted one up to `gram` - 1.  All partner lengths that can be
-    alike are tried.
+    So one of them is left whole in every alike text that is not longer.
     """
-    worst = 0
-    for other in range(length * 905 // 1095, length * 1095 // 905 + 2):
-        edits = (19 * (length + other) - 1) // 200  # the largest whole number below 0.095 * (length + other)
-        gone = (edits + length - other) // 2
-        come = gone - (length - other)
-        if gone >= 0 and come >= 0:
-            worst = max(worst, gram * gone + (gram - 1) * come)
-    return worst
-
-
-def _gram_codes(text: str) -> np.ndarray:
-    """One number per gram of three characters; different grams have different numbers."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("uint64")
-    if len(points) < GRAM:
-        return np.empty(0, dtype="uint64")
-    return points[:-2] << np.uint64(42) | points[1:-1] << np.uint64(21) | points[2:]
+    n = whole_edits(size, size) + 1
+    length = size // n + (np.arange(n) >= n - size % n)
+    return np.cumsum(length) - length, length
+
+
+def segment_lengths(size: int) -> np.ndarray:
+    """Lengths of the segments of all texts that are alike to one of this size and not shorter."""
+    sizes = np.arange(size, (219 * size - 1) // 181 + 1)
+    n = (38 * sizes - 1) // 200 + 1
+    return np.unique(np.concatenate([sizes // n, sizes[sizes % n > 0] // n[sizes % n > 0] + 1]))
 
 
 def _scatter(codes: np.ndarray) -> np.ndarray:
@@ -79,65 +71,92 @@ def _scatter(codes: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def gram_table(frequent: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, ranks) of frequent grams, sorted by code."""
-    codes = np.array([_gram_codes(g)[0] for g in frequent], dtype="uint64")
-    ranks = np.array(list(frequent.values()), dtype="int64")
-    order = np.argsort(codes)
-    return codes[order], ranks[order]
+#: Counts that sketch a text: of characters, and of runs of three.
+SINGLE, TRIPLE = 64, 512
+
+
+def sketch(text: str) -> np.ndarray:
+    """Counts of a text's characters and runs of three characters, in few buckets."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("uint64")
+    triples = _scatter(points[:-2] << np.uint64(42) | points[1:-1] << np.uint64(21) | points[2:]) if len(points) > 2 else points[:0]
+    counts = [np.bincount((p % np.uint64(n)).astype(np.int64), minlength=n) for p, n in ((points, SINGLE), (triples, TRIPLE))]
+    return np.concatenate(counts).astype(np.int32)
+
+
+def can_pass(a: list[str], b: list[str], step: int = 4096) -> np.ndarray:
+    """Whether the sketches of pairs of texts allow them to be alike.
+
+    An inserted or deleted character changes one count of characters, and at most five of runs of three.
+    """
+    place = {text: k for k, text in enumerate(dict.fromkeys([*a, *b]))}
+    sketches = np.stack([sketch(text) for text in place]) if place else np.zeros((0, SINGLE + TRIPLE), np.int32)
+    size = np.array([len(text) for text in place], np.int64)
+    left, right = (np.array([place[t] for t in texts], np.int64) for texts in (a, b))
+    edits = (19 * (size[left] + size[right]) - 1) // 200
+    out = np.zeros(len(left), bool)
+    for k in range(0, len(left), step):
+        part = slice(k, k + step)
+        apart = np.abs(sketches[left[part]] - sketches[right[part]])
+        out[part] = (apart[:, :SINGLE].sum(axis=1) <= edits[part]) & (apart[:, SINGLE:].sum(axis=1) <= 5 * edits[part])
+    return out
 
 
-def text_keys(text: str, table: tuple[np.ndarray, np.ndarray], broken: dict[int, int]) -> tuple[int, np.ndarray]:
-    """(spare, keys) of a text: its rarest grams, and how many of all its grams every alike text must have.
+@F.pandas_udf(T.BooleanType())
+def is_alike(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether texts are alike, told by their common subsequence where their sketches do not rule it out."""
+    return pd.Series([open_ and ratio(x, y) > THRESHOLD for x, y, open_ in zip(a, b, can_pass(a.tolist(), b.tolist()).tolist())], dtype=bool)
 
-    With `lost` grams that an alike text can lack, the first lost + SHARED grams of two alike texts have SHARED in
-    common, or as many as the larger spare if that is less.  Repeats of a gram are numbered.  Any fixed order of grams
-    is safe; `table` puts the frequent ones last.  Texts too short to lose a gram get no keys: they are alike only if
-    they are equal.  `broken` remembers broken_grams.
+
+def text_keys(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and places of a text's segments, and of its stretches that can be segments of alike texts that are not shorter."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("uint64")
+    size = len(points)
+    if not size:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    starts, lengths = cuts(size)
+    wanted = segment_lengths(size)
+    segments = np.zeros(len(starts), np.uint64)
+    found, places = [], []
+    stretch = np.zeros(size, np.uint64)
+    for n in range(1, int(max(wanted[-1], lengths[-1])) + 1):
+        if n > size:
+            break
+        stretch = _scatter(stretch[: size - n + 1] + points[n - 1 :] + np.uint64(n))
+        segments[lengths == n] = stretch[starts[lengths == n]]
+        if n in wanted:
+            found.append(stretch)
+            places.append(np.arange(len(stretch)))
+    return segments.view("int64"), starts, np.concatenate(found).view("int64"), np.concatenate(places)
+
+
+def keys_of_batches(batches):
+    """Rows (id, size, kind, key, at) of the keys of (id, headline) batches."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1000):
+            part = batch.slice(start, 1000)
+            texts = part.column("headline").to_pylist()
+            found = [text_keys(t) for t in texts]
+            for kind, k in (("segments", 0), ("stretches", 2)):
+                n = np.array([len(f[k]) for f in found])
+                row = np.repeat(np.arange(len(found)), n)
+                size = np.array([len(t) for t in texts], np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    part.column("id").take(pa.array(row)), pa.array(size[row]), pa.array(np.full(len(row), kind, object), pa.string()),
+                    pa.array(np.concatenate([f[k] for f in found]), pa.int64()),
+                    pa.array(np.concatenate([f[k + 1] for f in found]).astype(np.int32)),
+                ], names=["id", "size", "kind", "key", "at"])
+
+
+def can_be_alike(longer: Column, at: Column, shorter: Column, found_at: Column) -> Column:
+    """Whether a segment at a place of a text can be what is left of it at a place of a text that is not longer.
+
+    What is before the segment and what is behind it differ by as many characters, at least, as their lengths do.
     """
-    size = len(text)
-    if size not in broken:
-        broken[size] = broken_grams(size)
-    lost = broken[size]
-    if not lost:
-        return 0, np.empty(0, dtype="int64")
-    codes = np.sort(_gram_codes(text))
-    index = np.arange(len(codes))
-    fresh = np.concatenate(([True], codes[1:] != codes[:-1]))
-    repeat = index - np.maximum.accumulate(np.where(fresh, index, 0))
-    keys = _scatter(_scatter(codes) + repeat.astype("uint64"))
-    ranks = np.zeros(len(codes), dtype="int64")
-    if len(table[0]):
-        at = np.minimum(np.searchsorted(table[0], codes), len(table[0]) - 1)
-        ranks = np.where(table[0][at] == codes, table[1][at], 0)
-    first = np.lexsort((keys, ranks))[:lost + SHARED]
-    return len(codes) - lost, keys[first].view("int64")
-
-
-def keys_of(frequent: dict[str, int]):
-    """A vectorised function for text_keys with a given table of frequent grams."""
-    table = gram_table(frequent)
-
-    @F.pandas_udf(T.StructType([T.StructField("spare", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))]))
-    def keys(text: pd.Series) -> pd.DataFrame:
-        broken: dict[int, int] = {}
-        found = [text_keys(t, table, broken) for t in text]
-        return pd.DataFrame({"spare": [f[0] for f in found], "keys": [f[1] for f in found]})
-
-    return keys
-
-
-def must_share(a: Column, b: Column) -> Column:
-    """How many keys alike texts with these spares have in common at least."""
-    return F.least(F.lit(SHARED), F.greatest(a, b, F.lit(1)))
+    shift = F.abs(found_at - at) + F.abs((longer - at) - (shorter - found_at))
+    return length_band(longer, shorter) & (200 * shift < 19 * (longer + shorter))
 
 
 def length_band(la: Column, lb: Column) -> Column:
     """Whether texts of these lengths can be alike."""
     return 200 * F.abs(la - lb) < 19 * (la + lb)
-
-
-def cheap_bound(a: str, b: str) -> Column:
-    """Whether the edit distance, which never exceeds indel, still allows the two columns to be alike."""
-    k = f"cast((19 * (length({a}) + length({b})) - 1) div 200 as int)"
-    return F.expr(f"levenshtein({a}, {b}, {k}) >= 0")

@@ -5,16 +5,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gavelline.functions.links import canonical_link, site_of
-from gavelline.functions.similarity import GRAM, cheap_bound, is_alike, keys_of, length_band, must_share
+from gavelline.functions.links import canonical_link
+from gavelline.functions.similarity import can_be_alike, is_alike, keys_of_batches
 from gavelline.functions.text import ascii_lower
+from gavelline.operators.prefixes import prefix_matches
 from gavelline.session import cut
 
-FREQUENT_GRAMS = 4096  # size of the table of frequent grams, whatever the data
-HOT_KEY = 1000  # stored headlines per key above which a few of them are tried before all others
-FIRST_PARTNERS = 8  # how many are tried first
-PAIRS_PER_ROW = 200  # key matches per row above which clusters are thinned out first ...
-FEW_PAIRS = 20_000_000  # ... unless there are no more than this in all
+#: How many of the headlines under a key are looked at first, and by how much that grows while headlines are open.
+FIRST_PARTNERS, FURTHER = 16, 8
 
 
 # --- links -----------------------------------------------------------------------------------------------------------
@@ -25,29 +23,11 @@ def clean_key(links: DataFrame) -> DataFrame:
     return links.withColumn("clean", ascii_lower(canonical_link(F.col("link"))))
 
 
-def prefix_matches(wanted: DataFrame, stored: DataFrame) -> DataFrame:
-    """(clean, link) for every wanted `clean` that starts a stored `link`, without regard to case.
-
-    A stored link emits its prefixes, but only in the lengths that occur among the wanted texts of its own site, so
-    the join is on equal texts.  Wanted texts that may end inside the site name are few; their lengths go to all links.
-    """
-    wanted = wanted.select("clean").distinct()
-    lengths = wanted.groupBy(site_of(F.col("clean")).alias("site")).agg(F.collect_set(F.length("clean")).alias("lengths"))
-    everywhere = lengths.filter("site = ''").select("lengths").scalar()
-    low = ascii_lower(F.col("link"))
-    none = F.array().cast("array<int>")
-    rows = stored.select("link", low.alias("low"), site_of(low).alias("site"))
-    rows = rows.join(lengths.filter("site <> ''"), "site", "left")
-    sizes = F.array_distinct(F.concat(F.coalesce("lengths", none), F.coalesce(everywhere, none)))
-    rows = rows.select("link", "low", F.explode(sizes).alias("n")).filter(F.col("n") <= F.length("low"))
-    prefixes = rows.select("link", F.substring(F.col("low"), F.lit(1), F.col("n")).alias("clean"))
-    return prefixes.join(wanted, "clean", "left_semi")
-
-
 def known_links(new: DataFrame, store: DataFrame) -> DataFrame:
-    """Distinct new links that the store has already, as they are or as the start of a stored link."""
+    """Distinct new links that the store has already, as they are or as the start of a stored link, whatever their case."""
     links = clean_key(new.filter("link <> ''").select("link").distinct())
-    hits = prefix_matches(links, store.select("link")).select("clean").distinct()
+    stored = store.filter("link <> ''").select(ascii_lower(F.col("link")).alias("low"))
+    hits = prefix_matches(links, stored, once=True).select("clean").distinct()
     return links.join(hits, "clean", "left_semi").select("link")
 
 
@@ -59,15 +39,6 @@ def link_exists_anti(new: DataFrame, store: DataFrame) -> DataFrame:
 # --- headlines -------------------------------------------------------------------------------------------------------
 
 
-def frequent_grams(texts: DataFrame) -> dict[str, int]:
-    """The most frequent grams, the most frequent with the highest number; a table of fixed size."""
-    places = F.sequence(F.lit(1), F.length("headline") - (GRAM - 1))
-    long_enough = texts.filter(F.length("headline") >= GRAM)
-    grams = long_enough.select(F.explode(F.transform(places, lambda i: F.substring(F.col("headline"), i, F.lit(GRAM)))).alias("g"))
-    top = grams.groupBy("g").count().filter("count > 1").orderBy(F.desc("count"), "g").limit(FREQUENT_GRAMS).collect()
-    return {row["g"]: len(top) - i for i, row in enumerate(top)}
-
-
 def with_id(texts: DataFrame) -> DataFrame:
     """Distinct headlines with a short id, so that keys and pairs need not carry the text."""
     return texts.select("headline").distinct().withColumn("id", F.unhex(F.md5("headline")))
@@ -78,49 +49,54 @@ def _spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *(by or ("id",)))
 
 
-def headline_keys(texts: DataFrame, common: dict[str, int]) -> DataFrame:
-    """(id, length, spare, key) rows of headlines; alike headlines that differ share several keys."""
-    found = _spread(texts).select("id", F.length("headline").alias("length"), keys_of(common)(F.col("headline")).alias("f"))
-    return found.select("id", "length", "f.spare", F.explode("f.keys").alias("key"))
+def headline_keys(texts: DataFrame) -> DataFrame:
+    """(id, size, kind, key, at) of headlines: a segment's key is a stretch's key in every alike text that is not longer."""
+    rows = _spread(texts.select("id", "headline"))
+    return cut(rows.mapInArrow(keys_of_batches, "id binary, size int, kind string, key bigint, at int"))
 
 
-def _alike(left: DataFrame, right: DataFrame, texts_a: DataFrame, texts_b: DataFrame, complete=True, ordered=False) -> DataFrame:
-    """Pairs of ids (a, b) of alike headlines among those that share keys.
+def shared_keys(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct pairs of ids (a, b) whose headlines can be alike, by keys of one kind on the left and the other on the right."""
+    def meeting(longer, shorter):
+        pairs = longer.filter("kind = 'segments'").alias("l").join(shorter.filter("kind = 'stretches'").alias("s"), "key")
+        pairs = pairs.filter(F.col("l.id") != F.col("s.id")).filter(F.col("l.size") >= F.col("s.size"))
+        return pairs.filter(can_be_alike(F.col("l.size"), F.col("l.at"), F.col("s.size"), F.col("s.at")))
 
-    Pairs are counted by shared keys first; only pairs with enough of them get their texts and are judged, by a bounded
-    edit distance and then exactly.  Where `right` does not hold all keys of its texts, one shared key is enough.
-    """
-    a = left.select(F.col("id").alias("a"), F.col("length").alias("la"), F.col("spare").alias("sa"), "key")
-    b = right.select(F.col("id").alias("b"), F.col("length").alias("lb"), F.col("spare").alias("sb"), "key")
-    pairs = a.join(b, "key").filter(length_band(F.col("la"), F.col("lb")))
-    pairs = pairs.filter("a < b" if ordered else "a <> b")
-    need = must_share(F.col("sa"), F.col("sb")) if complete else F.lit(1)
-    near = pairs.groupBy("a", "b", need.alias("need")).agg(F.count("*").alias("n")).filter("n >= need").select("a", "b")
+    one = meeting(left, right).select(F.col("l.id").alias("a"), F.col("s.id").alias("b"))
+    # texts of one length have met already
+    other = meeting(right, left).filter(F.col("l.size") > F.col("s.size")).select(F.col("s.id").alias("a"), F.col("l.id").alias("b"))
+    return one.union(other).distinct()
+
+
+def alike_pairs(left: DataFrame, right: DataFrame, texts_a: DataFrame, texts_b: DataFrame) -> DataFrame:
+    """Pairs of ids (a, b) of alike headlines among those that share a key."""
+    near = shared_keys(left, right)
     near = near.join(texts_a.select(F.col("id").alias("a"), F.col("headline").alias("ta")), "a")
     near = near.join(texts_b.select(F.col("id").alias("b"), F.col("headline").alias("tb")), "b")
-    near = _spread(near, "a", "b").filter(cheap_bound("ta", "tb"))
-    return near.filter(is_alike("ta", "tb")).select("a", "b")
+    return _spread(near, "a", "b").filter(is_alike("ta", "tb")).select("a", "b")
+
+
+def first_under_keys(keys: DataFrame, order: list, most: int) -> DataFrame:
+    """The first headlines under each key, and `late` on the one after them."""
+    place = F.row_number().over(Window.partitionBy("kind", "key").orderBy(*order, "id", "at"))
+    first = keys.withColumn("place", place).filter(F.col("place") <= most + 1)
+    return first.withColumn("late", F.col("place") > most).drop("place")
 
 
 def headline_matches(new: DataFrame, store: DataFrame) -> DataFrame:
     """Distinct new headlines that are alike to a stored one.
 
-    Equal headlines are found by a join.  Under keys that very many stored headlines have, a new headline meets a few of
-    them first; the ones that match leave, so a large group of near copies is settled without pairing its members.  The
-    rest meet all their partners.
+    Equal headlines are found by a join.  The others meet some of the stored headlines under each of their keys first; the ones
+    that match leave, so a large group of near copies is settled without pairing its members.  The rest meet all.
     """
     texts, known = with_id(new), with_id(store)
     equal = texts.join(known, "id", "left_semi").select("headline")
-    common = frequent_grams(known)
-    stored = cut(headline_keys(known, common))
+    stored = headline_keys(known)
     rest = texts.join(known, "id", "left_anti")
-    keys = cut(headline_keys(rest, common))
-    hot = stored.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_KEY).select("key")
-    order = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
-    few = stored.join(hot, "key", "left_semi").withColumn("place", F.row_number().over(order))
-    few = few.filter(F.col("place") <= FIRST_PARTNERS).drop("place")
-    first = cut(_alike(keys, few, rest, known, complete=False).select(F.col("a").alias("id")).distinct())
-    late = _alike(keys.join(first, "id", "left_anti"), stored, rest, known).select(F.col("a").alias("id")).distinct()
+    keys = headline_keys(rest)
+    some = first_under_keys(stored, [F.xxhash64("id")], FIRST_PARTNERS).filter("not late")
+    first = cut(alike_pairs(keys, some, rest, known).select(F.col("a").alias("id")).distinct())
+    late = alike_pairs(keys.join(first, "id", "left_anti"), stored, rest, known).select(F.col("a").alias("id")).distinct()
     return equal.union(rest.join(first.union(late), "id", "left_semi").select("headline"))
 
 
@@ -131,89 +107,74 @@ def headline_fuzzy_dup(new: DataFrame, store: DataFrame) -> DataFrame:
 
 
 # --- both, in order of arrival ---------------------------------------------------------------------------------------
-# A row is kept unless an earlier kept row (or the store) has its link or an alike headline.  Rows are decided in rounds:
-# a row with no undecided earlier neighbour is kept, a row with a kept earlier neighbour is dropped.  What a row needs to
-# know of its neighbours is the smallest sequence number among them, which aggregates; groups are never listed.
+# A row is kept unless an earlier kept row (or the store) has its link or an alike headline.  Rows are decided in rounds: a row
+# with no undecided earlier neighbour is kept, a row with a kept earlier neighbour is dropped, and dropped rows leave.  What a
+# row needs to know of its neighbours is the smallest sequence number among them, which aggregates; groups are never listed.
+# Neighbours by headline are looked for among the first rows under each key only.  Rows that have more before them under one of
+# their keys wait, until a wider look is due; by then, most of what was before them has left.
 
 
 def _smallest(*found: DataFrame, by: str, name: str) -> DataFrame:
-    rows = found[0]
-    for other in found[1:]:
-        rows = rows.union(other)
+    rows = reduce(DataFrame.union, found)
     return rows.groupBy(by).agg(F.min("seq").alias(name))
 
 
 class _Links:
     def __init__(self, rows: DataFrame):
-        self.members = cut(prefix_matches(rows, rows.select("link").distinct()).distinct())
+        self.members = cut(prefix_matches(rows.select("clean"), rows.select("low")))
 
     def earliest(self, rows: DataFrame, name: str) -> DataFrame:
-        per_link = rows.groupBy("link").agg(F.min("seq").alias("seq"))
-        return _smallest(self.members.join(per_link, "link").select("clean", "seq"), by="clean", name=name)
+        per_link = rows.groupBy("low").agg(F.min("seq").alias("seq"))
+        return _smallest(self.members.join(per_link, "low").select("clean", "seq"), by="clean", name=name)
 
 
-class _Pairs:
-    """Headline neighbours as a table of alike pairs."""
+class _Headlines:
+    """Alike headlines among the first `reach` rows under each key, and up to which row that is all there are."""
 
-    def __init__(self, keys: DataFrame, texts: DataFrame):
-        one_way = _alike(keys, keys, texts, texts, ordered=True)
-        self.pairs = cut(one_way.union(one_way.select("b", "a")))
+    def __init__(self, rows: DataFrame, keys: DataFrame, texts: DataFrame, reach: int):
+        lead = rows.groupBy("id").agg(F.min("seq").alias("lead"), F.max(~F.col("kept")).alias("open"))
+        alive = keys.join(lead, "id")
+        first = cut(first_under_keys(alive, [F.col("lead")], reach))
+        waiting = cut(alive.filter("open").drop("lead", "open"))
+        self.pairs = cut(alike_pairs(waiting, first.filter("not late").drop("lead", "open", "late"), texts, texts))
+        other = F.when(F.col("kind") == "segments", F.lit("stretches")).otherwise(F.lit("segments"))
+        behind = first.filter("late").select(other.alias("kind"), "key", "lead")
+        self.limits = cut(waiting.join(behind, ["kind", "key"]).groupBy("id").agg(F.min("lead").alias("limit")))
 
     def earliest(self, rows: DataFrame, name: str) -> DataFrame:
         own = rows.groupBy("id").agg(F.min("seq").alias("seq"))
         near = self.pairs.join(own.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "seq")
         return _smallest(own, near, by="id", name=name)
 
-    kept_before = earliest
-
-
-class _Buckets:
-    """Headline neighbours as the rows that share a key: a superset of the alike ones."""
-
-    def __init__(self, keys: DataFrame, texts: DataFrame):
-        self.keys, self.texts = keys, texts
-
-    def earliest(self, rows: DataFrame, name: str) -> DataFrame:
-        own = rows.groupBy("id").agg(F.min("seq").alias("seq"))
-        lead = self.keys.join(own, "id").groupBy("key").agg(F.min("seq").alias("seq"))
-        near = self.keys.join(lead, "key").select("id", "seq")
-        return _smallest(own, near, by="id", name=name)
-
-    def kept_before(self, kept: DataFrame, name: str) -> DataFrame:
-        # a kept row leads all its keys, so a key has at most one kept headline
-        own = kept.groupBy("id").agg(F.min("seq").alias("seq"))
-        lead = self.keys.join(own, "id", "left_semi")
-        near = _alike(self.keys, lead, self.texts, self.texts)
-        near = near.join(own.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "seq")
-        return _smallest(own, near, by="id", name=name)
-
 
-def _round(undecided: DataFrame, links: _Links, near) -> tuple[DataFrame, DataFrame]:
-    """(kept in this round, still undecided)"""
-    seen = undecided.join(links.earliest(undecided, "link_lead"), "clean").join(near.earliest(undecided, "lead"), "id")
-    free = (F.col("link_lead") >= F.col("seq")) & (F.col("lead") >= F.col("seq"))
-    kept = cut(seen.filter(free).select(*undecided.columns))
-    rest = undecided.join(kept.select("seq"), "seq", "left_anti")
-    rest = rest.join(links.earliest(kept, "link_kept"), "clean", "left").join(near.kept_before(kept, "near_kept"), "id", "left")
-    open_rows = (F.coalesce("link_kept", "seq") >= F.col("seq")) & (F.coalesce("near_kept", "seq") >= F.col("seq"))
-    return kept, cut(rest.filter(open_rows).select(*undecided.columns))
+def _without_dropped(rows: DataFrame, links: _Links, near: _Headlines) -> DataFrame:
+    """Rows that are kept, or have no kept row before them that they repeat."""
+    kept = rows.filter("kept")
+    seen = rows.join(links.earliest(kept, "link_kept"), "clean", "left").join(near.earliest(kept, "near_kept"), "id", "left")
+    first = (F.coalesce("link_kept", "seq") >= F.col("seq")) & (F.coalesce("near_kept", "seq") >= F.col("seq"))
+    return seen.filter(F.col("kept") | first).select(*rows.columns)
 
 
-def _pair_volume(keys: DataFrame) -> int:
-    volume = keys.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1) div 2")).alias("v")).first()["v"]
-    return volume or 0
+def _round(rows: DataFrame, links: _Links, near: _Headlines) -> DataFrame:
+    """Rows after those with nothing open before them are kept, and those that repeat a kept one have left."""
+    open_rows = rows.filter("not kept")
+    seen = rows.join(links.earliest(open_rows, "link_lead"), "clean", "left").join(near.earliest(open_rows, "lead"), "id", "left")
+    seen = seen.join(near.limits, "id", "left")
+    free = reduce(lambda a, b: a & b, [F.coalesce(c, "seq") >= F.col("seq") for c in ("link_lead", "lead", "limit")])
+    decided = cut(seen.withColumn("kept", F.col("kept") | free).select(*rows.columns))
+    return cut(_without_dropped(decided, links, near))
 
 
-def news_dedup_greedy(new: DataFrame, store: DataFrame, fuzzy: bool = True) -> DataFrame:
+def news_dedup_greedy(new: DataFrame, store: DataFrame, fuzzy: bool = True, watch=None) -> DataFrame:
     """The new rows that enter the store, as if they were tested and added one by one in the order of `seq`.
 
-    Rows without headline, source or link are rejected; an empty link is stored once and never counts as known.
+    Rows without headline, source or link are rejected; an empty link is stored once and never counts as known.  `watch` is told
+    the reach and the number of open rows before every round.
     """
     valid = new.na.drop(subset=["headline", "source", "link"])
     blank = cut(valid.filter("link = ''").orderBy("seq").limit(1).select("seq", "headline"))
     rows = valid.filter("link <> ''").groupBy("link", "headline").agg(F.min("seq").alias("seq"))
     rows = rows.join(known_links(rows, store), "link", "left_anti")
-    kept = [blank.select("seq")]
     if fuzzy:
         rows = rows.join(headline_matches(rows, store), "headline", "left_anti")
         if not blank.isEmpty():
@@ -222,25 +183,24 @@ def news_dedup_greedy(new: DataFrame, store: DataFrame, fuzzy: bool = True) -> D
             rows = rows.join(near, "headline", "left").filter(~F.coalesce(late, F.lit(False))).drop("near")
     # without the headline test every row is a text of its own, with no keys
     identity = F.unhex(F.md5("headline")) if fuzzy else F.col("seq").cast("string").cast("binary")
-    undecided = cut(clean_key(rows).select("seq", "link", "clean", "headline", identity.alias("id")))
-    links = _Links(undecided)
-    left = undecided.count()
-    texts = undecided.select("id", "headline").distinct()
-    keys = cut(headline_keys(texts if fuzzy else texts.filter("false"), frequent_grams(texts) if fuzzy else {}))
-    while left and _pair_volume(keys) > max(PAIRS_PER_ROW * left, FEW_PAIRS):
-        before = left
-        done, undecided = _round(undecided, links, _Buckets(keys, texts))
-        kept.append(done.select("seq"))
-        left = undecided.count()
-        keys = cut(keys.join(undecided.select("id").distinct(), "id", "left_semi"))
-        if left > 0.99 * before:
-            break  # what is left is spread out: settle it pair by pair
-    pairs = _Pairs(keys, texts)
+    named = clean_key(rows).select("seq", ascii_lower(F.col("link")).alias("low"), "clean", "headline", identity.alias("id"))
+    named = cut(named)
+    texts = cut(named.select("id", "headline").distinct())
+    keys = headline_keys(texts if fuzzy else texts.filter("false"))
+    links = _Links(named)
+    rows = cut(named.select("seq", "low", "clean", "id", F.lit(False).alias("kept")))
+    left, reach = rows.count(), FIRST_PARTNERS
     while left:
-        done, undecided = _round(undecided, links, pairs)
-        kept.append(done.select("seq"))
-        left = undecided.count()
-    return valid.join(reduce(DataFrame.union, kept), "seq", "left_semi")
+        near = _Headlines(rows, keys, texts, reach)
+        rows, before = cut(_without_dropped(rows, links, near)), None
+        left = rows.filter("not kept").count()
+        while left and left != before:
+            if watch:
+                watch(reach, left)
+            rows, before = _round(rows, links, near), left
+            left = rows.filter("not kept").count()
+        reach *= FURTHER
+    return valid.join(rows.filter("kept").select("seq").union(blank.select("seq")), "seq", "left_semi")
 
 
 def canonical_once(articles: DataFrame) -> DataFrame:

@@ -28,20 +28,23 @@ def filename_meta(name: Column) -> tuple[Column, Column]:
     return number, date
 
 
-def most_frequent(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Most frequent non-null value per group, the smallest on a tie.
+def most_frequent(df: DataFrame, group: str, *values: str) -> DataFrame:
+    """Most frequent non-null value of each column per group, the smallest on a tie.
 
-    Counted per value first, so that a group with very many values stays spread over tasks.
+    Counted per value first, in one pass for all columns, so that a group with very many values stays spread over tasks.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n"))
-    return counts.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(value))).getField(value).alias(value))
+    cells = F.explode(F.array(*[F.struct(F.lit(v).alias("column"), F.col(v).alias("value")) for v in values])).alias("cell")
+    counts = df.select(group, cells).filter("cell.value is not null").groupBy(group, "cell").agg(F.count("*").alias("n"))
+    best = [
+        F.min(F.when(F.col("cell.column") == v, F.struct((-F.col("n")).alias("n"), "cell.value"))).getField("value").alias(v)
+        for v in values
+    ]
+    return counts.groupBy(group).agg(*best)
 
 
 def internal_meta(mapped: DataFrame) -> DataFrame:
     """Sale number and date per file, told by its own columns."""
-    codes = most_frequent(mapped, "file", "sale_number_internal")
-    dates = most_frequent(mapped, "file", "sale_date_internal")
-    return codes.join(dates, "file", "full").select(
+    return most_frequent(mapped, "file", "sale_number_internal", "sale_date_internal").select(
         "file",
         _found(F.col("sale_number_internal"), SALE_CODE, 1).alias("internal_number"),
         parse_date_or_serial(F.col("sale_date_internal")).alias("internal_date"),

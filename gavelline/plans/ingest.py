@@ -27,11 +27,11 @@ def ledger(spark: SparkSession, root: str, without: str | None = None) -> DataFr
 def store_lots(grid: DataFrame, files: DataFrame, root: str, location: str, batch: str, when: datetime) -> DataFrame:
     """Store the lots of a grid and log its files; returns the log entries.
 
-    `files` holds (file, file_identifier, data_type).  Sheets are parsed once, into a landed table, and typed once;
-    everything after reads the results.  A batch that is written again replaces itself, so a repeated attempt changes nothing.
+    `files` holds (file, file_identifier, data_type).  The grid comes from a written table; lots are mapped and typed in one pass,
+    into another, and everything after reads that.  A batch that is written again replaces itself, so a repeated attempt changes nothing.
     """
     spark = grid.sparkSession
-    landed = cut(alias_map(grid, written=True))
+    landed = alias_map(grid, written=True)
     stamp = F.lit(when.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
     lots = typed_lots(landed, location).join(files.select("file", "file_identifier"), "file")
     lots = lots.withColumnRenamed("file_identifier", "source_file_identifier").withColumn("processed_timestamp", stamp)
