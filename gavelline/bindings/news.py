@@ -204,6 +204,25 @@ one_way as (select a, b from judged where round_even(100.0 * 2 * n / (length(a)
 alike as (select a, b from one_way union all select b, a from one_way union all select headline, headline from texts)
 """
 
+# Rows one by one in their order: kept unless a stored or kept row has the link or an alike headline.
+GREEDY_SQL = _ALIKE + """
+        , keyed as (select *, lower(regexp_replace(link, '[?#].*$', '')) as clean, {stored} as stored from heads),
+        clash as (
+          select n.seq, o.seq as other, o.stored from keyed n join keyed o on o.seq <> n.seq and starts_with(lower(o.link), n.clean)
+          union select n.seq, o.seq, o.stored from keyed n join alike on alike.a = n.headline join keyed o on o.headline = alike.b
+          where o.seq <> n.seq),
+        new as (
+          select k.seq, row_number() over (order by k.seq) as turn,
+                 coalesce(list(c.other) filter (c.other is not null), []) as others,
+                 coalesce(bool_or(c.stored), false) as stored
+          from keyed k left join clash c on c.seq = k.seq where not k.stored group by k.seq),
+        steps as (
+          select cast(0 as bigint) as turn, cast([] as bigint[]) as kept
+          union all
+          select n.turn, case when n.stored or list_has_any(s.kept, n.others) then s.kept else list_append(s.kept, n.seq) end
+          from steps s join new n on n.turn = s.turn + 1)
+        select seq, link from heads join (select unnest(kept) as seq from (select kept from steps order by turn desc limit 1)) using (seq)"""
+
 QUERIES = {
     "page_cards": (page_cards, f"""
         select page_id, cast(0 as integer) as pos, {_TITLE} as title, url as link, '' as article_date from pages"""),
@@ -257,21 +276,5 @@ QUERIES = {
         from heads n where seq % 2 = 1"""),
     # SQL that tells the common lengths of such long lines takes hours; tests compare with every pair of the smallest tables.
     "first_line_fuzzy_dup": (first_line_fuzzy_dup, None),
-    "news_dedup_greedy": (news_dedup_greedy, _ALIKE + """
-        , keyed as (select *, lower(regexp_replace(link, '[?#].*$', '')) as clean from heads),
-        clash as (
-          select n.seq, o.seq as other from keyed n join keyed o on o.seq <> n.seq and starts_with(lower(o.link), n.clean)
-          union select n.seq, o.seq from heads n join alike on alike.a = n.headline join heads o on o.headline = alike.b
-          where o.seq <> n.seq),
-        new as (
-          select k.seq, row_number() over (order by k.seq) as turn,
-                 coalesce(list(c.other) filter (c.other is not null), []) as others,
-                 coalesce(bool_or(c.other % 5 = 0), false) as stored
-          from keyed k left join clash c on c.seq = k.seq where k.seq % 5 <> 0 group by k.seq),
-        steps as (
-          select cast(0 as bigint) as turn, cast([] as bigint[]) as kept
-          union all
-          select n.turn, case when n.stored or list_has_any(s.kept, n.others) then s.kept else list_append(s.kept, n.seq) end
-          from steps s join new n on n.turn = s.turn + 1)
-        select seq, link from heads join (select unnest(kept) as seq from (select kept from steps order by turn desc limit 1)) using (seq)"""),
+    "news_dedup_greedy": (news_dedup_greedy, GREEDY_SQL.format(stored="seq % 5 = 0")),
 }

@@ -14,7 +14,7 @@ from gavelline.operators.lots import split_lots
 from gavelline.operators.sheets import alias_map
 from gavelline.session import cut
 from gavelline.sources.files import is_delimited, list_files, plain_path, read_grid
-from gavelline.sources.store import known_keys, read_store, write_batch
+from gavelline.sources.store import finish_batch, known_keys, read_store, write_batch
 
 LEDGER_KEY = ["file_identifier", "data_type"]
 
@@ -28,7 +28,7 @@ def store_lots(grid: DataFrame, files: DataFrame, root: str, location: str, batc
     """Store the lots of a grid and log its files; returns the log entries.
 
     `files` holds (file, file_identifier, data_type).  The grid comes from a written table; lots are mapped and typed in one pass,
-    into another, and everything after reads that.  A batch that is written again replaces itself, so a repeated attempt changes nothing.
+    into another, and everything after reads that.  Offers, sales and log entries count together, once the batch is finished.  A batch that is written again replaces itself, so a repeated attempt changes nothing.
     """
     spark = grid.sparkSession
     landed = alias_map(grid, written=True)
@@ -49,6 +49,7 @@ def store_lots(grid: DataFrame, files: DataFrame, root: str, location: str, batc
     seen = files.join(found, "file", "left").withColumn("readable", readable).drop("found")
     entries = ingest_counts(seen, added[0].union(added[1])).withColumn("processed_timestamp", stamp)
     write_batch(entries, root, "processing_log", batch, by=None)
+    finish_batch(spark, root, batch)
     return read_store(spark, root, "processing_log", only=batch)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gavelline.operators.dedup import news_dedup_greedy
 from gavelline.operators.news import date_display, news_latest500
 from gavelline.session import cut
-from gavelline.sources.store import read_store, write_batch
+from gavelline.sources.store import finish_batch, read_store, write_batch
 
 
 def update_news(articles: DataFrame, root: str, batch: str | None = None, when: datetime | None = None, fuzzy: bool = True) -> None:
@@ -22,6 +22,7 @@ def update_news(articles: DataFrame, root: str, batch: str | None = None, when:
     fresh = news_dedup_greedy(cut(articles), store, fuzzy).withColumn("scraped_date", stamp)
     columns = ["seq", "headline", "snippet", "source", "link", "scraped_date", "article_date"]
     write_batch(fresh.select(*columns), root, "articles", batch, by=None)
+    finish_batch(spark, root, batch)
 
 
 def newest_news(spark: SparkSession, root: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gavelline.operators.catalogue import registry_children, registry_insert
 from gavelline.session import cut
-from gavelline.sources.store import SCHEMAS, read_store, write_batch
+from gavelline.sources.store import SCHEMAS, finish_batch, read_store, write_batch
 
 
 def register_reports(
@@ -21,3 +21,4 @@ def register_reports(
     added = cut(registry_insert(submissions, known).withColumn("scraped_at", stamp))
     for name, rows in (("results", registry_children(results, added)), ("reports", added)):
         write_batch(rows.select(*[c.split()[0] for c in SCHEMAS[name].split(", ")]), root, name, batch, by=None)
+    finish_batch(submissions.sparkSession, root, batch)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gavelline.operators import kpis, lots, market, movements, sequence
 from gavelline.session import cut
+from gavelline.sources.documents import write_documents
 from gavelline.sources.store import read_store
 
 
@@ -94,19 +95,40 @@ def with_manifest(docs: DataFrame, names: list[str]) -> DataFrame:
     return docs.withColumn("data_sources", F.array(*folders))
 
 
+#: The chart tables, whose rows per sale are bounded by its bins, grades, brokers and ranks, and the order of their rows.
+CHARTS = {
+    "price_distribution": ["bin_start"], "grade_performance": ["grade"], "broker_performance": ["broker"],
+    "top_buyers_by_value": ["rank", "buyer"], "top_buyers_by_volume": ["rank", "buyer"], "movement_marks": ["mark"],
+}
+
+
+def with_charts(docs: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Documents with charts: the rows of each chart table that belong to the sale."""
+    for name, order in CHARTS.items():
+        rows = tables[name]
+        rest = [c for c in rows.columns if c != "sale_number" and c not in order]
+        per_sale = rows.groupBy("sale_number").agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias(name))
+        docs = docs.join(per_sale, "sale_number", "left")
+    charts = F.struct(*[F.coalesce(F.col(name), F.array().cast(docs.schema[name].dataType)).alias(name) for name in CHARTS])
+    return docs.withColumn("charts", charts).drop(*CHARTS)
+
+
 def report_json_sink(tables: dict[str, DataFrame], out: str, location: str) -> None:
-    """Write the reports as JSON: documents by file name, row tables by sale, and the index that the catalogue reads.
+    """Write the reports as JSON: a file per sale with its charts, row tables by sale, and the index that the catalogue reads.
 
-    Nulls and NaN leave no field.  A sale with very many rows is written by several tasks.
+    Nulls and NaN leave no field.  A sale with very many rows is written by several tasks.  The index comes last.
     """
-    docs = with_manifest(tables["documents"], sorted(set(tables) - {"documents"}))
-    docs.drop("sale_number").write.mode("overwrite").partitionBy("filename").json(f"{out}/documents")
-    spark = docs.sparkSession
-    written = spark.read.schema(docs.schema).json(f"{out}/documents").withColumn("sale_number", F.col("metadata.sale_number"))
-    report_index(written).write.mode("overwrite").json(f"{out}/{location.lower()}_index.json")
     for name, df in tables.items():
         if name != "documents":
             df.hint("rebalance", "sale_number").write.mode("overwrite").partitionBy("sale_number").json(f"{out}/{name}")
+    docs = cut(with_charts(with_manifest(tables["documents"], sorted(set(tables) - {"documents"})), tables))
+    body = F.to_json(F.struct(*[c for c in docs.columns if c not in ("sale_number", "filename")]))
+    write_documents(docs.select("filename", body.alias("body")), f"{out}/documents")
+    entries = report_index(docs)
+    fields = F.struct(F.col("sale_number").alias("key"), F.struct(*entries.columns).alias("entry"))
+    listed = F.transform(F.sort_array(F.collect_list(fields), asc=False), lambda e: e["entry"])  # an entry per sale
+    index = entries.agg(F.to_json(listed).alias("body")).withColumn("filename", F.lit(f"{location.lower()}_index.json"))
+    write_documents(index, out)
 
 
 def build_reports(spark: SparkSession, root: str, out: str, location: str) -> None:

@@ -2,15 +2,14 @@
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gavelline.operators.ingest import append_unique
 from gavelline.plans.ingest import ingest_files
+from gavelline.session import cut
 from gavelline.sources.files import typed_files
-from gavelline.sources.store import known_keys, write_batch
+from gavelline.sources.store import read_parquet, stored_keys, write_batch, write_keys
 
 
 def stream_lot_files(spark: SparkSession, folder: str, root: str, location: str, checkpoint: str, files_per_batch: int = 10000):
@@ -28,28 +27,29 @@ def stream_lot_files(spark: SparkSession, folder: str, root: str, location: str,
     return files.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_lot_ingest(lots: DataFrame, root: str, name: str, key: list[str], order: list[str], checkpoint: str, by: str | None):
-    """Add the lots of a stream, first wins: in each batch the first row of a key, unless it is stored already.
+def add_unique(rows: DataFrame, root: str, name: str, key: list[str], order: list[str], batch: str, by: str | None = None) -> None:
+    """Add the rows of one batch, first wins: the first row of a key, unless an earlier batch stored it.
 
-    A batch that runs again leaves its own earlier rows out of account and replaces them.
+    Stored keys are kept in parts by hash next to the table, so a batch reads the parts that its own keys fall into and no rows.
+    Keys and rows of a batch that runs again are left out of account and replaced.
     """
-    schema = lots.schema
+    known = stored_keys(rows, root, name, key, without=batch)
+    fresh = cut(append_unique(rows, known, key, order))
+    write_batch(fresh, root, name, batch, by)
+    write_keys(fresh, root, name, key, batch)
+
+
+def stream_lot_ingest(lots: DataFrame, root: str, name: str, key: list[str], order: list[str], checkpoint: str, by: str | None = None):
+    """Add the lots of a stream batch by batch."""
 
     def store(batch: DataFrame, number: int):
-        label = f"stream-{number}"
-        stored = read_table(batch.sparkSession, schema, f"{root}/{name}").filter(F.col("batch") != label)
-        known = known_keys(stored, key, batch) if by == "sale_number" else stored
-        write_batch(append_unique(batch, known, key, order), root, name, label, by)
+        # the rows are needed twice, for their keys and for themselves
+        add_unique(cut(batch), root, name, key, order, f"stream-{number}", by)
 
     return lots.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_table(spark: SparkSession, schema, path: str) -> DataFrame:
+def read_table(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
     """Rows written so far, with their batch."""
-    full = T.StructType(schema.fields + [T.StructField("batch", T.StringType())])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+    return read_parquet(spark, ", ".join([*fields, "batch string"]), path)

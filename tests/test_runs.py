@@ -73,11 +73,14 @@ def test_stream_of_files_equals_batch(spark, tmp_path):
         assert stored(spark, batch, name, *columns) == stored(spark, stream, name, *columns)
     out = str(tmp_path / "reports")
     weekly.build_reports(spark, batch, out, "Harbour")
-    docs = spark.read.json(f"{out}/documents")
-    row = docs.filter("metadata.sale_number = '36'").select("kpis.TOTAL_VOLUME", "metadata.location", "filename").first()
-    assert tuple(row) == (f"{1000.5 * 20:,.0f}", "Harbour", "harbour_36.json")
-    assert [r["sale_number"] for r in spark.read.json(f"{out}/harbour_index.json").collect()] == ["36"]  # sale 40 has no date
-    sources = {r["name"]: r["folder"] for r in docs.filter("metadata.sale_number = '36'").select("data_sources").first()[0]}
+    assert sorted(p.name for p in (tmp_path / "reports" / "documents").iterdir() if p.suffix == ".json") == ["harbour_36.json"]
+    doc = json.loads((tmp_path / "reports" / "documents" / "harbour_36.json").read_text())
+    assert doc["kpis"]["TOTAL_VOLUME"] == f"{1000.5 * 20:,.0f}" and doc["metadata"]["location"] == "Harbour"
+    assert [b["lots"] for b in doc["charts"]["price_distribution"]] == [1] and doc["charts"]["broker_performance"][0]["broker"] == "ALPHA"
+    assert [(r["rank"], r["buyer"]) for r in doc["charts"]["top_buyers_by_value"]] == [(1, "BUYER A")]
+    entries = json.loads((tmp_path / "reports" / "harbour_index.json").read_text())
+    assert [e["sale_number"] for e in entries] == ["36"]  # sale 40 has no date
+    sources = {r["name"]: r["folder"] for r in doc["data_sources"]}
     assert spark.read.json(f"{out}/{sources['raw_sales_data']}").count() == 1
     listed = library.build_library(spark, out, "Desk").collect()
     assert [r["report_link"] for r in listed] == ["report_viewer.html?data=report_data/harbour_36.json"]
