@@ -14,7 +14,8 @@ filter; filters and lines stream through a task in sorted order, so no group is
 
 Defined results: a null text has one empty line and stays null; a null document id is one document, smaller than all
 others; rows with the same document id are one document and are cleaned alike; inserting a document again adds to its
-lines; deleting an unknown document does nothing; an empty table gives no rows.
+lines; deleting an unknown document does nothing; an empty table gives no rows; ids may be of any type that has an order, and
+other columns may have any name.
 """
 
 from dataclasses import dataclass, replace
@@ -47,7 +48,8 @@ def key_of(line: Column) -> Column:
 
 
 def key_hashes(key: Column) -> tuple[Column, Column]:
-    return F.xxhash64(key), F.xxhash64(key, F.lit(1))
+    """Two hashes of which neither follows from the other: the second begins with a constant."""
+    return F.xxhash64(key), F.xxhash64(F.lit(1), key)
 
 
 class Cuckoo:
@@ -201,8 +203,12 @@ class LineStore:
 
         own: these are exactly the documents that the store was made of, so their references need not be made again.
         """
+        return self._cleaned(documents, own).select("_row.*", "_n_lines", "_n_dropped", "_kept")
+
+    def _cleaned(self, documents: DataFrame, own: bool) -> DataFrame:
+        """clean, with each document's own columns under _row, where no name clashes."""
         gone = self.dropped_lines(None if own else documents).withColumnRenamed("doc_id", "_doc")
-        row = F.struct(*[F.col(c) for c in documents.columns]).alias("_row")
+        row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
         joined = documents.select(row).join(gone.hint("shuffle_hash"), F.col("_row.doc_id").eqNullSafe(F.col("_doc")), "left")
         text, lines = F.col("_row.text"), lines_of(F.col("_row.text"))
 
@@ -216,7 +222,7 @@ class LineStore:
         kept = F.when(F.col("keys").isNull(), text).otherwise(F.array_join(F.filter(lines, stays), "\n"))
         left = F.when(F.col("keys").isNull(), 0).otherwise(F.size(lines) - F.size(F.filter(lines, stays)))
         return joined.select(
-            "_row.*", F.size(lines).cast("bigint").alias("_n_lines"), left.cast("bigint").alias("_n_dropped"), kept.alias("_kept")
+            "_row", F.size(lines).cast("bigint").alias("_n_lines"), left.cast("bigint").alias("_n_dropped"), kept.alias("_kept")
         )
 
 
@@ -277,11 +283,12 @@ def _probe(refs: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
                     hit[a:b] = filter_.may_hold(h1[a:b].view(np.uint64), h2[a:b].view(np.uint64))
             yield batch.filter(pa.array(hit)).select([*KEY, "doc_id", "n"])
 
-    return dealt.mapInArrow(probe, "shard int, h1 long, h2 long, doc_id long, n long")
+    kind = refs.schema["doc_id"].dataType.simpleString()
+    return dealt.mapInArrow(probe, f"shard int, h1 long, h2 long, doc_id {kind}, n long")
 
 
 def dedup_lines(documents: DataFrame, **limits) -> DataFrame:
     """The documents without the lines that many documents share, and n_chars of what is left; other columns unchanged."""
-    cleaned = LineStore.of(documents, **limits).clean(documents, own=True)
+    cleaned = LineStore.of(documents, **limits)._cleaned(documents, own=True)
     values = {"text": F.col("_kept"), "n_chars": F.char_length("_kept").cast("bigint")}
-    return cleaned.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns])
+    return cleaned.select(*[values[c].alias(c) if c in values else F.col("_row").getField(c).alias(c) for c in documents.columns])

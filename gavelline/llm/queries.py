@@ -76,7 +76,9 @@ def op7_source_mixing(spark, sf_dir):
 
 
 OP7_SQL = f"""
-with sized as (select doc_id, source, cast(len({WORDS_SQL}) as bigint) as size from documents),
+with sized as (
+  select doc_id, source, cast(len({WORDS_SQL}) as bigint) as size,
+         coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, '')) as identity from documents),
 totals as (
   select source, cast(sum(size) as bigint) as source_size,
          (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
@@ -94,7 +96,7 @@ rates as (
   select *, case when source_size > 0 then target / source_size else 1 end as rate from targets)
 select doc_id, size, source_size, target,
        cast(size * (floor(rate) + case when
-         cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), '')), 1, 12) as bigint) / 281474976710656.0
+         cast('0x' || substr(md5('mix:' || identity), 1, 12) as bigint) / 281474976710656.0
          < rate - floor(rate) then 1 else 0 end) as bigint) as taken
 from sized join rates on sized.source is not distinct from rates.source
 """

@@ -5,9 +5,9 @@ average of the runs' embeddings goes through a linear softmax that tells toxic f
 trained together.  A misspelt word shares most runs with the word, so it is found without having been seen.
 
 Insults are few words of a long text, and an average over all of it would drown them.  So the average is taken over each
-stretch of a text (the runs that begin in the same `STRETCH` bytes), and the text's score is that of the stretch that looks
-most toxic, in training as in scoring; only the first epoch averages whole texts, so that later ones know where to look.
-Whole texts are read.
+stretch of a text (the runs that begin in `STRETCH` bytes, one stretch every `STEP` bytes, so that they overlap), and the text's
+score is that of the stretch that looks most toxic, in training as in scoring; only the first epoch averages whole texts, so that
+later ones know where to look.  Whole texts are read.
 
 The model is fitted on the driver to at most `most` labelled documents of each class, chosen by a hash of their id.  As the
 softmax is linear in the average, the fitted embeddings fold into one number per bucket, which is what scoring tasks get.
@@ -30,7 +30,7 @@ from gavelline.session import cut
 #: Bytes of a run.
 SHORT, LONG = 3, 6
 BITS = 17
-STRETCH = 64
+STRETCH, STEP = 16, 8
 WIDTH = 8
 EPOCHS, RATE, DOCUMENTS = 8, 0.1, 32
 #: Labelled documents in a fit: toxic and clean.
@@ -42,19 +42,26 @@ _NORMAL = bytes(
 
 
 def runs(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The bucket and the stretch of every run of a text."""
+    """The bucket of every run of a text, and the step in which it begins."""
     data = np.frombuffer(b" " + text.encode("utf-8", "surrogatepass").translate(_NORMAL) + b" ", np.uint8)
     spaces = np.concatenate([[0], np.cumsum(data == 32, dtype=np.int32)])
     wide = data.astype(np.uint32)
     code = wide[:-1] * np.uint32(0x01000193) ^ wide[1:]
-    found, stretch = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    found, step = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
     for n in range(SHORT, min(LONG, len(data)) + 1):
         code = code[: len(data) - n + 1] * np.uint32(0x01000193) ^ wide[n - 1 :]
         inside = np.flatnonzero(spaces[n - 1 : len(data)] == spaces[1 : len(data) - n + 2])  # no space but at the ends
         mixed = (code[inside] ^ code[inside] >> np.uint32(15)) * np.uint32(0x2C1B3C6D)
         found.append((mixed >> np.uint32(32 - BITS)).astype(np.int32))
-        stretch.append(inside // STRETCH)
-    return np.concatenate(found), np.concatenate(stretch)
+        step.append(inside // STEP)
+    return np.concatenate(found), np.concatenate(step)
+
+
+def stretches(per_step: np.ndarray) -> np.ndarray:
+    """Sums over each stretch, which begins at a step; those at the end hold fewer steps."""
+    sums = np.concatenate([[0], np.cumsum(per_step)])
+    begin = np.arange(len(per_step))
+    return sums[np.minimum(begin + STRETCH // STEP, len(per_step))] - sums[begin]
 
 
 class Model(NamedTuple):
@@ -64,11 +71,11 @@ class Model(NamedTuple):
     bias: float
 
     def score(self, text: str) -> float:
-        found, stretch = runs(text)
+        found, step = runs(text)
         if not len(found):
             return _chance(self.bias)
-        n = np.bincount(stretch)
-        sums = np.bincount(stretch, self.weight[found])
+        n = stretches(np.bincount(step))
+        sums = stretches(np.bincount(step, self.weight[found]))
         return _chance(float((sums[n > 0] / n[n > 0]).max()) + self.bias)
 
 
@@ -80,11 +87,10 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 1) -> Model:
     """Joint training by stochastic gradients with adapted steps and softmax loss."""
     bags = []
     for text in texts:
-        found, stretch = runs(text)
-        order = np.argsort(stretch, kind="stable")
-        starts = np.flatnonzero(np.diff(stretch[order], prepend=-1))
-        bags.append((found[order], starts, np.diff(np.append(starts, len(found)))))
-    usable = [k for k, (found, _, _) in enumerate(bags) if len(found)]
+        found, step = runs(text)
+        order = np.argsort(step, kind="stable")
+        bags.append((found[order], np.bincount(step)))
+    usable = [k for k, (found, _) in enumerate(bags) if len(found)]
     draw = np.random.default_rng(seed)
     embedding = draw.normal(0, 0.1, (1 << BITS, WIDTH)).astype(np.float32)
     softmax = draw.normal(0, 1, (WIDTH, 2)).astype(np.float32)
@@ -97,10 +103,13 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 1) -> Model:
             weight = embedding @ apart
             chosen, slope = [], []
             for i in order[k : k + DOCUMENTS]:
-                found, starts, n = bags[i]
+                found, per_step = bags[i]
                 if epoch:
-                    top = (np.add.reduceat(weight[found], starts) / n).argmax()
-                    found = found[starts[top] : starts[top] + n[top]]
+                    n, ends = stretches(per_step), np.cumsum(per_step)
+                    sums = np.concatenate([[0], np.cumsum(weight[found], dtype=float)])
+                    first, last = ends - per_step, ends - per_step + n
+                    top = np.where(n > 0, (sums[last] - sums[first]) / np.maximum(n, 1), -np.inf).argmax()
+                    found = found[first[top] : last[top]]
                 chosen.append(found)
                 slope.append(_chance(weight[found].mean() + bias[1] - bias[0]) - toxic[i])
             slope, n = np.array(slope), np.array([len(c) for c in chosen])

@@ -95,3 +95,36 @@ def test_hash_of_what_is_kept(corpus):
     documents = corpus(["one\ntwo"])
     kept = LineStore.of(documents).clean(documents).first()._kept
     assert hashlib.sha256(kept.encode()).hexdigest() == hashlib.sha256(b"one\ntwo").hexdigest()
+
+
+def test_hashes_are_independent(spark):
+    """Neither hash follows from the other, so keys whose first hashes collide stay apart."""
+    from pyspark.sql import functions as F
+
+    from gavelline.llm.line_dedup import key_hashes
+
+    h1, h2 = key_hashes(F.col("k"))
+    rows = spark.createDataFrame([(f"line {k}",) for k in range(50)], "k string").select(h1.alias("h1"), h2.alias("h2"), F.xxhash64(h1, F.lit(1)).alias("x"), F.col("k"))
+    seeded = rows.select("h2", F.xxhash64(F.lit(1), "k").alias("own"), F.xxhash64("k", F.lit(1)).alias("old")).collect()
+    assert all(r.h2 == r.own != r.old for r in seeded)
+
+
+def test_keys_with_one_first_hash_are_told_apart(corpus, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from gavelline.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "key_hashes", lambda key: (F.lit(7).cast("long") + F.length(key) * 0, F.xxhash64(F.lit(1), key)))
+    documents = corpus([f"a line that {'many' if k < 6 else 'some'} documents have\nown line number {k}" for k in range(9)])
+    assert cleaned(LineStore.of(documents, 10, 5, shards=2), documents) == brute(documents.collect(), 10, 5)
+
+
+def test_any_ids_and_column_names(awkward):
+    from pyspark.sql import functions as F
+
+    named = awkward.withColumns({"_kept": F.lit("k"), "_n_lines": F.lit(1), "keys": F.lit(2)}).withColumnRenamed("h1", "a.b")
+    out = dedup_lines(named, min_chars=10, min_docs=3, shards=4)
+    assert out.columns == named.columns and {r._kept for r in out.select("_kept").collect()} == {"k"}
+    texts = awkward.withColumn("doc_id", F.concat(F.lit("id "), F.col("doc_id").cast("string")))
+    rows = texts.collect()
+    assert cleaned(LineStore.of(texts, 10, 3, shards=4), texts) == brute(rows, 10, 3)

@@ -46,3 +46,17 @@ def test_near_the_targets(corpus):
         taken, target = sums.get(r.source, (0, 0))
         sums[r.source] = (taken + r["size"] * r.n_copies, r.target)
     assert all(abs(taken - target) < 0.05 * target for taken, target in sums.values())
+
+
+def test_rows_without_ids_or_with_one_id_come_near_the_targets(corpus):
+    from pyspark.sql import functions as F
+
+    documents = corpus([f"{'word ' * (k % 9 + 1)}{k}" for k in range(6000)], sources=["a", "b", None])
+    for doc_id in (None, 5):
+        sums = {}
+        for r in mixing.mixed_sizes(documents.withColumn("doc_id", F.lit(doc_id).cast("long"))).collect():
+            taken, target = sums.get(r.source, (0, 0))
+            sums[r.source] = (taken + r["size"] * r.n_copies, r.target)
+        assert all(abs(taken - target) < 0.1 * target for taken, target in sums.values())
+    dotted = documents.withColumnRenamed("shard", "a.b")
+    assert mixing.mix(dotted).columns == dotted.columns

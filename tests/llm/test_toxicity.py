@@ -52,3 +52,32 @@ def test_awkward_rows(spark, awkward, nothing):
     assert {r.score for r in t.scored(awkward, None).collect()} == {0.0}
     again = t.fitted(documents.repartition(3), labels)
     assert np.array_equal(again.weight, model.weight)
+
+
+def test_an_insult_is_found_wherever_it_stands():
+    """One insult in a long text, at all 64 places of a stretch: stretches overlap, so none of them divides it."""
+    model = t.fit(*texts(500, 1))
+    clean, _ = texts(1, 9, share=0)
+    for word in INSULTS:
+        scores = []
+        for offset in range(64):
+            text = "lo " * 3 + "x" * (offset % 7) + " " + "re" * (offset // 2) + " " + word + " " + clean[0][:400]
+            scores.append(model.score(text))
+        assert min(scores) > 0.5, (word, min(scores))
+
+
+def test_score_by_plain_stretches():
+    """The score equals that of runs listed one by one."""
+    draw = np.random.default_rng(2)
+    model = t.Model(draw.normal(size=1 << t.BITS).astype(np.float32), -0.3)
+    for text in (*texts(6, 5)[0], "a", "ab cd", "x" * 200, "é" * 70 + " ok", " \n"):
+        data = b" " + text.encode().translate(t._NORMAL) + b" "
+        means = []
+        found = [(i, n) for n in range(t.SHORT, t.LONG + 1) for i in range(len(data) - n + 1) if 32 not in data[i + 1 : i + n - 1]]
+        buckets = dict(zip(sorted(found, key=lambda x: (x[1], x[0])), t.runs(text)[0]))
+        for begin in range(0, len(data), t.STEP):
+            mine = [float(model.weight[buckets[i, n]]) for i, n in found if begin <= i < begin + t.STRETCH]
+            if mine:
+                means.append(sum(mine) / len(mine))
+        want = t._chance(max(means, default=0.0) + model.bias)
+        assert abs(model.score(text) - want) < 1e-6
