@@ -82,16 +82,23 @@ def apportioned(total: int, weights: list[float]) -> list[int]:
 
 
 def phases(totals: list[int], length: int = LENGTH, weights: list[float] | None = None) -> list[Phase]:
-    """Serve queues of these totals by the weights, or by what is left in them; each token is served once."""
+    """Serve queues of these totals by the weights, or by what is left in them; each token is served once.
+
+    A phase ends when a queue could not give its share of another round; the last rounds before that are as short as the queue
+    that ends first allows, so the shares hold up to its end, whatever the sizes.
+    """
     left, first, plan = list(totals), 0, []
     while any(left):
         due = left if weights is None else [w if n else 0 for n, w in zip(left, weights)]
-        if sum(left) <= ROUND * length:
-            quanta = left
+        due = due if any(due) else left
+        until, ends = min((n / d, k) for k, (n, d) in enumerate(zip(left, due)) if d)  # the queue that ends first
+        if until * sum(due) >= ROUND * length:
+            quanta = apportioned(ROUND * length, due)
         else:
-            quanta = apportioned(ROUND * length, due if any(due) else left)
+            quanta = [min(n, (2 * left[ends] * d + due[ends]) // (2 * due[ends])) for n, d in zip(left, due)]
+            quanta = [int(q) for q in quanta]
         rounds = min(n // q for n, q in zip(left, quanta) if q)
-        if not rounds:
+        if not rounds or sum(quanta) % length:  # only rounds of whole windows are alike
             rounds, quanta = 1, [min(n, q) for n, q in zip(left, quanta)]
         plan.append(Phase(first, rounds, quanta, [t - n for t, n in zip(totals, left)]))
         first += rounds * sum(quanta)
@@ -154,11 +161,12 @@ class Pieces:
 
 def pack(
     documents: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, end: int = END,
-    weights: dict[str | None, float] | None = None,
+    weights: dict[str | None, float] | None = None, with_ids: bool = False,
 ) -> DataFrame:
     """All documents in sequences of `length` tokens, a row per piece (PIECES).
 
-    weights: target shares of the sources; without, each source's share of all tokens.
+    weights: target shares of the sources; without, each source's share of all tokens.  with_ids: also the piece's token ids,
+    little-endian 16-bit numbers, in a column ids.
     """
     rows = tokenised(documents, vocabulary, end)
     sums = rows.groupBy("source", "block").agg(F.sum("n_tokens").alias("n"))
@@ -183,12 +191,14 @@ def pack(
                 wide = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                 for a, b, window, offset in cutter.of(numbers[source], first, first + n):
                     crc = zlib.crc32(wide[4 * (a - first) : 4 * (b - first)])
-                    out.append((doc_id, a - first, b - a, crc, n, window, offset))
+                    part = ids[2 * (a - first) : 2 * (b - first)] if with_ids else None
+                    out.append((doc_id, a - first, b - a, crc, n, window, offset, part))
             fields = [f.split()[0] for f in PIECES.split(", ")]
-            columns = list(zip(*out)) or [[]] * len(fields)
-            yield pa.record_batch({f: pa.array(c, pa.int64()) for f, c in zip(fields, columns)})
+            *columns, parts = list(zip(*out)) or [[]] * (len(fields) + 1)
+            made = {f: pa.array(c, pa.int64()) for f, c in zip(fields, columns)}
+            yield pa.record_batch(made | ({"ids": pa.array(parts, pa.binary())} if with_ids else {}))
 
     placed = rows.join(
         begins.drop("n"), F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
     )
-    return placed.select("doc_id", "source", "begin", "queued", "n_tokens", "ids").mapInArrow(pieces, PIECES)
+    return placed.select("doc_id", "source", "begin", "queued", "n_tokens", "ids").mapInArrow(pieces, PIECES + (", ids binary" if with_ids else ""))

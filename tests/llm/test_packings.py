@@ -54,6 +54,36 @@ def test_turns_are_a_permutation(totals, weights):
                 assert abs(shares[window][s] - length * n / sum(totals)) < 2 + 0.02 * length
 
 
+@pytest.mark.parametrize("totals", [[5000, 5000], [100_000, 100_000], [3_000_000, 3_000_000, 4_000_000], [40_000, 700, 9_000_000], [1, 1, 64]])
+@pytest.mark.parametrize("weights", [[3, 1, 2], [1, 1, 0], [5, 2, 0.25]])
+def test_shares_are_the_weights_until_a_source_ends(totals, weights):
+    """Windows before a source's end hold every source's share to a token or two, and so do those after, of what is left."""
+    length, weights = 512, weights[: len(totals)]
+    plan = mix_packing.phases(totals, length, weights)
+    served, left = [0.0] * len(totals), list(totals)
+    for phase in plan:
+        due = [w if n else 0 for n, w in zip(left, weights)]
+        due = due if any(due) else left
+        n = phase.rounds * sum(phase.quanta)
+        if n > 200:
+            for s, q in enumerate(phase.quanta):
+                assert abs(phase.rounds * q / n - due[s] / sum(due)) <= 2 / sum(phase.quanta)
+        served = [a + phase.rounds * q for a, q in zip(served, phase.quanta)]
+        left = [t - int(a) for t, a in zip(totals, served)]
+    assert served == totals and len(plan) <= 4 * len(totals)
+    phase = max(plan, key=lambda p: sum(p.quanta))
+    cutter = mix_packing.Pieces([phase], length)
+    shares = defaultdict(lambda: [0] * len(totals))
+    for s, q in enumerate(phase.quanta):
+        for a, b, window, _ in cutter.of(s, phase.begins[s], phase.begins[s] + min(q, 30_000)):
+            shares[window][s] += b - a
+    taken = min(min(q, 30_000) / q for q in phase.quanta if q) * sum(phase.quanta)
+    whole = [w for w in shares if w * length >= phase.first and (w + 2) * length <= phase.first + taken]
+    for w in whole:
+        for s, q in enumerate(phase.quanta):
+            assert abs(shares[w][s] - length * q / sum(phase.quanta)) <= 2
+
+
 def check_pieces(rows, documents, length):
     want = defaultdict(list)
     for r in documents.collect():
@@ -86,8 +116,11 @@ def test_mixture_packing(awkward, nothing, corpus):
     check_pieces(mix_packing.pack(awkward.repartition(5), length=64, weights={"a": 2, None: 1}).collect(), awkward, 64)
     assert mix_packing.pack(nothing).count() == 0
     documents = corpus([f"some words {k} " * (k % 13) for k in range(300)], sources=["a"] * 5 + ["b", None])
-    rows = mix_packing.pack(documents.repartition(7), length=256).collect()
+    rows = mix_packing.pack(documents.repartition(7), length=256, with_ids=True).collect()
     check_pieces(rows, documents, 256)
+    for r in rows:
+        piece = np.frombuffer(r.ids, "<u2").astype("<u4")
+        assert len(piece) == r.length and zlib.crc32(piece.tobytes()) == r.ids_crc32
 
 
 @settings(max_examples=100, deadline=None)
