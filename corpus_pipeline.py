@@ -37,8 +37,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of packed sequences."""
-    return mix_packing.pack(docs)
+    """The pieces of packed sequences, with their token ids."""
+    return mix_packing.pack(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
