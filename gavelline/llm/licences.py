@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gavelline.llm import licence_table
 from gavelline.llm.common import slices
 
 RESULT = "doc_id long, licence string, rule string, begin long, end long, in_order long, sentences array<string>"
 
 # Sentences by which public licences are granted, normalised, and the identifiers they stand for.
 # {version} is a number with points, {holder} words (up to the next end of a sentence where it comes last), {year} one or
-# more years.
+# more years, {id} an expression as it is written.  More sentences and rules are in licence_table.
 SENTENCES = {
     "mit-name": ["released under the mit license", "licensed under the mit license", "the mit license",
                  "the mit license mit", "mit license", "this project is licensed under the mit license"],
@@ -113,10 +114,17 @@ RULES = [
     ("BSD", "bsd-named", ["bsd-name"]),
     ("MIT", "mit-named", ["mit-name"]),
     ("Proprietary", "reserved", ["copyright", "reserved"]),
-    ("Proprietary", "reserved-alone", ["reserved"]),
 ]
 
-_VERSION, _YEAR = re.compile(r"\d+(?:\.\d+)*"), re.compile(r"\d{4}")
+_TAKEN = {sentence for kinds in SENTENCES.values() for sentence in kinds}
+for _name, _kinds in licence_table.named().items():
+    if _new := [kind for kind in dict.fromkeys(_kinds) if kind not in _TAKEN]:
+        SENTENCES[f"name {_name}"] = _new
+        RULES.append((_name, "named", [f"name {_name}"]))
+SENTENCES |= licence_table.GRANTS
+RULES[:0] = licence_table.GRANT_RULES  # an identifier goes before all else, grants before names
+
+_VERSION, _YEAR = re.compile(r"v?(\d+(?:\.\d+)*)"), re.compile(r"\d{4}")
 _WORD = re.compile(r"(?:[^\W_]|(?<=\d)\.(?=\d))+")
 _ADDRESS = re.compile(r"(?:https?://|www\.)[^\s<>\"')\]]*[^\s<>\"')\].,;:!?]", re.I)
 _EDGE = re.compile(r"\n|[.!?;:](?=[\x20\x09-\x0D])")
@@ -127,7 +135,7 @@ _REMARK = re.compile(r"^[\x20\x09]*(rem|dnl|c)(?=\s)", re.I | re.M)
 _REST = re.compile(r"[^\w\s]*")
 #: Every known sentence has one of these, so a text without them has no known sentence.
 _SIGNS = re.compile(
-    r"licen[cs]e|copyright|copies|permi(?:ssion|tted)|warrant|redistribut|free[\W_]+software|cc0|rights[\W_]+reserved", re.I
+    r"licen[cs]e|copyright|copies|permi(?:ssion|tted)|warrant|redistribut|free[\W_]+software|cc0|rights[\W_]+reserved|public[\W_]+domain|cc[\W_]+by|creative[\W_]+commons|the[\W_]+mpl", re.I
 )
 _SAME = {"licence": "license", "licences": "licenses", "licenced": "licensed"}
 
@@ -149,6 +157,7 @@ class _Paragraph:
     """The words of a part of a text, where they lie, and between which of them a sentence may begin and end."""
 
     def __init__(self, text: str, begin: int, end: int):
+        self.text = text
         addresses = [m.span() for m in _ADDRESS.finditer(text, begin, end)]
         signs = {m.start(1) for m in _REMARK.finditer(text, begin, end)}
         self.words, self.spans = [], []
@@ -188,9 +197,16 @@ class _Paragraph:
         while k < len(parts):
             part = parts[k]
             if part == "{version}":
-                if i >= len(words) or not _VERSION.fullmatch(words[i]):
+                number = _VERSION.fullmatch(words[i]) if i < len(words) else None
+                if not number:
+                    return None, ""
+                version, i = number[1], i + 1
+            elif part == "{id}":  # an expression up to the end of its line, as it is written
+                if i >= len(words):
                     return None, ""
-                version, i = words[i], i + 1
+                first, i = i, self.in_order[bisect_right(self.in_order, i)]
+                version = self.text[self.spans[first][0] : _REST.match(self.text, self.spans[i - 1][1]).end()]
+                version = re.sub(r"[^\w+)]+$", "", version.split("*/")[0].split("-->")[0])
             elif part == "{year}":
                 first = i
                 while i < len(words) and _YEAR.fullmatch(words[i]):
@@ -276,10 +292,10 @@ def licences(text: str) -> list[tuple]:
     for licence, rule, sequence in RULES:
         for i in range(len(names) - len(sequence) + 1):
             if names[i : i + len(sequence)] == sequence and not any(taken[i : i + len(sequence)]):
-                taken[i : i + len(sequence)] = [True] * len(sequence)
-                version = next((t[0][1] for t in tokens[i : i + len(sequence)] if t[0][1]), "")
-                label = licence.replace("{version}", version)
-                found.append((label, rule, tokens[i][1], tokens[i + len(sequence) - 1][2], sequence))
+                taken[i : i + len(sequence)] = [True] * len(sequence)  # None stands for a sentence that is not known
+                version = next((t[0][1] for t in tokens[i : i + len(sequence)] if t[0] and t[0][1]), "")
+                label = licence.replace("{version}", version) if version else licence.replace("-{version}", "")
+                found.append((label, rule, tokens[i][1], tokens[i + len(sequence) - 1][2], [x for x in sequence if x]))
     for i, name in enumerate(names):
         if name and not taken[i]:
             found.append((None, "sentence without rule", tokens[i][1], tokens[i][2], [name]))

@@ -45,7 +45,46 @@ def test_every_sentence_can_be_found():
                 sentence = sentence.replace(part, value)
             assert lic._SIGNS.search(sentence), sentence
             assert lic.known(sentence + ".")[0] == name, sentence
-    assert {s for _, _, sequence in lic.RULES for s in sequence} <= set(lic.SENTENCES)
+    assert {s for _, _, sequence in lic.RULES for s in sequence if s} <= set(lic.SENTENCES)
+
+
+GRANTS = {
+    "ISC": 'Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS.',
+    "Zlib": "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\narising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:",
+    "LGPL-2.1-or-later": " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3-or-later": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Affero General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+    "GPL-2-only": "// This program is free software; you can redistribute it and/or modify\n// it under the terms of the GNU General Public License version 2 as\n// published by the Free Software Foundation.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "BSL-1.0": "Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license (the \"Software\") to use, reproduce, display, distribute,\nexecute, and transmit the Software, and to prepare derivative works of the\nSoftware, and to permit third-parties to whom the Software is furnished to\ndo so, all subject to the following:",
+    "EPL-2.0": "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License v2.0 which accompanies this distribution.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons\nAttribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-SA": "This work is licensed under CC BY-SA.",
+    "Apache-2.0 OR MIT": "// SPDX-License-Identifier: Apache-2.0 OR MIT\n\nfn main() {}",
+    "GPL-2.0+": "/* SPDX-License-Identifier: GPL-2.0+ */\nint x;",
+    "PostgreSQL": "Released under the PostgreSQL License.",
+    "OFL-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.".replace("This Font Software is l", "L"),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+}
+
+
+@pytest.mark.parametrize("name", GRANTS)
+def test_grants_as_they_are_wrapped(name):
+    assert [f[0] for f in lic.licences("Some words first.\n\n" + GRANTS[name] + "\n\nAnd more.")] == [name]
+
+
+def test_many_licences_by_name():
+    from gavelline.llm.licence_table import NAMES
+
+    assert len(NAMES) >= 40
+    for name, kinds in NAMES.items():
+        for kind in kinds:
+            text = f"It rained.\nThis project is licensed under the {kind.replace('{version}', '7.1').title()}.\nIt rained again."
+            found = [f[0] for f in lic.licences(text)]
+            assert found in ([name.replace("{version}", "7.1")], ["BSD"]), (text, found)
+
+
+def test_reserved_rights_in_prose_are_no_licence():
+    assert [f[0] for f in lic.licences("He said so.\nAll rights reserved.\nThey left.")] == [None]
 
 
 def test_awkward_rows(awkward, nothing, spark):

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(QUERIES) <= set(names)
 
@@ -43,5 +43,5 @@ def test_stages_on_awkward_rows(spark, awkward, nothing):
 def test_whole_tables(spark, name):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     rows = entry.queries()[name](spark, SF)
-    if name not in ("op4_mixture_packing", "op8_bfd_packing", "op10_licence_scan"):
-        assert rows.count() == n
+    per_row = not name.startswith(("op4_", "op8_", "op10_", "op11_", "op13_"))
+    assert rows.count() == n if per_row else rows.count() > 0
