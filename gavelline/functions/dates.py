@@ -17,8 +17,8 @@ _FORMATS = [
     (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
 ]
 
-# Shapes of other texts once weekdays, times and ordinal endings are gone, separators are spaces and years have four
-# digits.  A month in digits comes first where both readings are days.
+# Shapes of other texts once weekdays, times, ordinal endings and filling words are gone, digits and letters stand apart,
+# separators are spaces and years have four digits.  A month in digits comes first where both readings are days.
 _LOOSE_FORMATS = [
     (r"^\d{4} \d{1,2} \d{1,2}$", "yyyy M d"),
     (r"^\d{8}$", "yyyyMMdd"),
@@ -32,9 +32,16 @@ _LOOSE_FORMATS = [
     (r"^\d{1,2} \d{1,2} \d{4}$", "d M yyyy"),
     (r"^[A-Za-z]{4,9} \d{4}$", "MMMM yyyy"),
     (r"^[A-Za-z]{3} \d{4}$", "MMM yyyy"),
+    (r"^\d{4} \d{1,2}$", "yyyy M"),
+    (r"^\d{1,2} \d{4}$", "M yyyy"),
 ]
 _WEEKDAY = r"(?i)\b(mon|tues?|wed(nes)?|thu(rs?)?|fri|sat(ur)?|sun)(day)?\b"
-_TIME = r"(?i)[T\s]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*([ap]m)?\s*(Z|[+-]\d{2}:?\d{2})?$"
+# A time of day, wherever it stands, with its zone; one that is no time stays and spoils the text's shape.
+_TIME = (
+    r"(?i)(^|[\sT])([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?(\s*[ap]m\b)?(\s*(Z|GMT|UTC|[+-]\d{2}:?\d{2})(?=\s|$))?"
+)
+_STAMP = r"^(\d{8})T\d{4}(\d{2})?Z?$"
+_FILLING = r"(?i)\b(of|at|ad)\b"
 # Two-digit years of this century.
 _SHORT_YEAR_2000 = "([0-6][0-9]|7[0-5])"
 _ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?([+-]\d{2}:\d{2}|Z)?$"
@@ -47,7 +54,8 @@ def _guarded(text: Column, shape: str, pattern: str) -> Column:
 def _tidy(t: Column) -> Column:
     """Day, month and year with single spaces, as far as the text has them."""
     for pattern, instead in (
-        (_TIME, ""), (_WEEKDAY, " "), (r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), (r"(?i)\bsept\b", "Sep"), (r"[,./\s-]+", " "),
+        (_STAMP, "$1"), (_TIME, " "), (_WEEKDAY, " "), (r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), (_FILLING, " "),
+        (r"(?<=\d)(?=[A-Za-z])|(?<=[A-Za-z])(?=\d)", " "), (r"(?i)\bsept\b", "Sep"), (r"[,./;'\s-]+", " "),
     ):
         t = F.regexp_replace(t, pattern, instead)
     head = r"^(\d{1,2} (?:\d{1,2}|[A-Za-z]{3,9})|[A-Za-z]{3,9} \d{1,2}) "

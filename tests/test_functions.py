@@ -57,6 +57,15 @@ def test_dates(spark):
         "02/09/25": date(2025, 2, 9), "30/09/25": date(2025, 9, 30), "2025.09.02": date(2025, 9, 2), "02-09-2025": date(2025, 2, 9),
         "2 September 2025 10:30 pm": date(2025, 9, 2), "Tue, Sep 2, 2025": date(2025, 9, 2), "3-Mar-98": date(1998, 3, 3),
         "September 2025": date(2025, 9, 1), "45902": None, "2025": None, "20251302": None,
+        "2nd of September 2025": date(2025, 9, 2), "Sept. 2, 2025": date(2025, 9, 2), "20250902T101112": date(2025, 9, 2),
+        "10:30 2 Sep 2025": date(2025, 9, 2), "2 Sep 2025 at 10:30": date(2025, 9, 2), "Tue Sep 2 10:00:00 2025": date(2025, 9, 2),
+        "Tue, 02 Sep 2025 10:00:00 GMT": date(2025, 9, 2), "2/Sep/2025": date(2025, 9, 2), "Sep-02-2025": date(2025, 9, 2),
+        "2025/9": date(2025, 9, 1), "9/2025": date(2025, 9, 1), "02Sep2025": date(2025, 9, 2), "2Sep25": date(2025, 9, 2),
+        "September 2nd 2025": date(2025, 9, 2), "1 2 2025": date(2025, 1, 2), "2025.9.2 10:00": date(2025, 9, 2), "Sep 2": None,
+        "2 Sep '25": date(2025, 9, 2), "2025-09-02 10:00 PM": date(2025, 9, 2), "2;9;2025": date(2025, 2, 9),
+        "02-09-2025 10:11": date(2025, 2, 9), "31/12/2025 24:00": None, "12/31/25": date(2025, 12, 31), "2025-13-01": None,
+        "2 Sep 2025 AD": date(2025, 9, 2), "2 Sep 2025 10:30:15.123 +03:00": date(2025, 9, 2), "noon 2 Sep 2025": None,
+        "Week 36 2025": None, "the 2nd of September, 2025": None, "14th/15th October 2025": None,
     }
     assert column(spark, list(cases), "string", dates.parse_date) == list(cases.values())
     assert column(spark, ["45902", "45902.75", "02.09.2025"], "string", dates.parse_date_or_serial) == [date(2025, 9, 2)] * 3
