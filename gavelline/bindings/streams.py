@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gavelline.bindings.base import KPIS_SQL, MOVES_SQL, raw_offers, raw_sales, table, total, with_lots
+from gavelline.bindings.base import KPIS_SQL, MOVES_SQL, offered_lots, sold_lots, table, total, with_lots
 from gavelline.bindings.ingest import _APPEND
 from gavelline.bindings.news import GREEDY_SQL
 from gavelline.bindings.sales import _AHEAD, _INSIGHTS, _MOVERS, _TEXTS
@@ -73,7 +73,7 @@ def stream_sale_kpis(spark, sf):
 
 def report_documents(spark, sf):
     """The nested report of every sale, with its texts taken apart again for the check."""
-    tables = weekly.report_tables(raw_sales(spark, sf, "mark", "buyer"), raw_offers(spark, sf, "mark"), "Harbour")
+    tables = weekly.report_tables(sold_lots(spark, sf, "mark", "buyer"), offered_lots(spark, sf, "mark"), "Harbour")
     return tables["documents"].select(
         "filename", F.col("metadata.sale_date").alias("sale_date"), F.col("metadata.year").alias("year"),
         F.col("metadata.sale_num_only").alias("sale_num_only"), F.col("kpis.TOTAL_VOLUME").alias("volume"),
@@ -85,7 +85,7 @@ def report_documents(spark, sf):
 def report_json_sink(spark, sf):
     """All reports written as JSON files; files, index, catalogue and two row tables read back."""
     out = run_folder(spark, "reports")
-    tables = weekly.report_tables(raw_sales(spark, sf, "mark", "buyer"), raw_offers(spark, sf, "mark"), "Harbour")
+    tables = weekly.report_tables(sold_lots(spark, sf, "mark", "buyer"), offered_lots(spark, sf, "mark"), "Harbour")
     weekly.report_json_sink(tables, out, "Harbour")
     listed = build_library(spark, out, "Weekly Desk").select(F.substring_index("report_link", "/", -1).alias("filename"), "report_link")
     index = index_entries(read_index_files(spark, out)).select("sale_number", "filename", "snapshot")

@@ -73,7 +73,9 @@ def exact_total(sums: dict[str, Column]) -> Column:
     units = units - F.lit(1 << (_FIRST + _SECOND)) * short
     integer = sum_high.cast("double") * float(1 << _HIGH) + (sum_low.bitwiseAND(F.lit(low_bits)) + short).cast("double")
     inside = integer + (units.cast("double") + sums["tail"]) / 2.0 ** (_FIRST + _SECOND)
-    return F.when(sums["beyond"].isNull(), inside).otherwise(sums["beyond"] + F.coalesce(inside, F.lit(0.0)))
+    # `inside` stands once: twice, and the code of two sums is too long for the JVM to compile.
+    some = sums["high"].isNotNull() | sums["beyond"].isNotNull()
+    return F.when(some, F.coalesce(sums["beyond"], F.lit(0.0)) + F.coalesce(inside, F.lit(0.0)))
 
 
 def exact_sum(c: Column, where: Column | None = None) -> Column:

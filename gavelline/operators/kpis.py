@@ -9,10 +9,11 @@ from gavelline.constants import (
     AWAITING_CATALOGUES, AWAITING_RESULTS, DEMAND_ABOVE, DEMAND_FROM, DEMAND_LOW, PREDICTION, PRICES_DOWN, PRICES_STEADY, PRICES_UP,
     WEATHER,
 )
-from gavelline.functions.numbers import exact_parts, exact_sum, exact_total, ratio
+from gavelline.functions.numbers import exact_sum, ratio
 from gavelline.functions.text import fixed, grouped, signed
 from gavelline.operators.lots import is_priced, total_weight
 from gavelline.operators.sequence import earliest_after, latest_before
+from gavelline.session import cut
 
 
 def sale_kpis(raw_sales: DataFrame, raw_offers: DataFrame) -> DataFrame:
@@ -98,42 +99,29 @@ def snapshot_text(df: DataFrame) -> DataFrame:
 
 
 def totals_and_lots(raw_sales: DataFrame, raw_offers: DataFrame) -> DataFrame:
-    """What sale_kpis and sell_through tell, in one row per sale and from one reading of sales and offers.
+    """What sale_kpis and sell_through tell, in one row per sale.
 
-    Rows are grouped by lot, which flags tell offered and sold; the parts of the sums are added up per lot on the way.
+    The parts of the sums are added up by sale before the shuffle; only keys and flags are grouped by lot.
     """
-    keys = ["sale_number", "broker", "lot_number"]
-    sold = total_weight(raw_sales)
-    parts = {f"{name}_{part}": c for name, value in (("kgs", F.col("total_weight_kgs")), ("usd", F.col("total_weight_kgs") * F.col("price")))
-             for part, c in exact_parts(value, is_priced()).items()}
-    sold = sold.select(
-        *keys, F.lit(False).alias("offered"), F.lit(True).alias("sold"), is_priced().alias("usable"),
-        is_priced().cast("bigint").alias("priced_lots"), *[c.alias(name) for name, c in parts.items()],
-    )
-    weighed = F.coalesce(F.col("total_weight_kgs") > 0, F.lit(False))
-    offered = total_weight(raw_offers).select(*keys, weighed.alias("offered"), F.lit(False).alias("sold"), weighed.alias("usable"))
-    rows = sold.unionByName(offered, allowMissingColumns=True).filter("sale_number is not null")
-    summed = [F.sum(name).alias(name) for name in ("priced_lots", *parts)]
-    flags = ("offered", "sold", "usable")
-    per_lot = rows.groupBy(*keys).agg(*[F.max(f).alias(f) for f in flags], *summed)
-    per_sale = per_lot.groupBy("sale_number").agg(
-        F.count_if("offered").alias("lots_offered"), F.count_if("sold").alias("sold"), F.max("usable").alias("usable"), *summed
+    df = sale_kpis(raw_sales, raw_offers).join(sell_through(raw_sales, raw_offers), "sale_number")
+    return df.select(
+        "sale_number", "priced_lots", "total_volume", "total_value", "lots_offered", "lots_sold", "avg_price", "sell_through_rate",
     )
 
-    def total(name):
-        return F.coalesce(exact_total({part: F.col(f"{name}_{part}") for part in exact_parts(F.lit(0.0))}), F.lit(0.0))
 
-    df = per_sale.select(
-        "sale_number", F.coalesce("priced_lots", F.lit(0)).alias("priced_lots"), total("kgs").alias("total_volume"),
-        total("usd").alias("total_value"), "lots_offered", F.when(F.col("usable"), F.col("sold")).otherwise(F.lit(0)).alias("lots_sold"),
-    )
-    return df.withColumns({
-        "avg_price": ratio(F.col("total_value"), F.col("total_volume")), "sell_through_rate": ratio(F.col("lots_sold"), F.col("lots_offered")),
-    })
+_FIGURES = ("sale_number", "broker", "lot_number", "quantity_kgs", "package_count", "price")
 
 
 def weekly_kpis(raw_sales: DataFrame, raw_offers: DataFrame) -> DataFrame:
-    """All key figures of a sale in one row, with their display texts."""
+    """All key figures of a sale in one row, with their display texts.
+
+    What the figures need of sales and offers is written first, so that each is read once.
+    """
+    return key_figures(*(cut(df.select(*[c for c in _FIGURES if c in df.columns])) for df in (raw_sales, raw_offers)))
+
+
+def key_figures(raw_sales: DataFrame, raw_offers: DataFrame) -> DataFrame:
+    """weekly_kpis over sales and offers that are written already."""
     df = price_change(totals_and_lots(raw_sales, raw_offers)).withColumns({
         "total_volume_text": grouped(F.col("total_volume")),
         "avg_price_text": F.concat(F.lit("$"), fixed(F.col("avg_price"), 2)),

@@ -1,6 +1,6 @@
 """Weekly reports: every sale at once, grouped by sale number; there is no loop over sales."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelline.operators import kpis, lots, market, movements, sequence
@@ -9,23 +9,35 @@ from gavelline.sources.documents import write_documents
 from gavelline.sources.store import read_store
 
 
-def arrival(df: DataFrame) -> Column:
-    """Order in which stored rows count as first: by time of storing, then by content."""
-    return F.struct(*[c for c in ("processed_timestamp", "source_file_identifier", "sale_date", "broker", "lot_number") if c in df.columns])
+def arrival(df: DataFrame) -> list[str]:
+    """Order in which stored rows count as first: by time of storing, then by content, as far as it decides on the date."""
+    return [c for c in ("processed_timestamp", "source_file_identifier", "sale_date") if c in df.columns]
+
+
+def first_dates(sales: DataFrame, offers: DataFrame) -> DataFrame:
+    """The date of each sale by its first row.  A file holds few dates, so few rows are left to be put in order."""
+    order = arrival(sales)
+    return sequence.sale_dates(*(df.select("sale_number", *order).distinct() for df in (sales, offers)), F.struct(*order))
 
 
 def report_tables(sales: DataFrame, offers: DataFrame, location: str) -> dict[str, DataFrame]:
-    """The parts of all reports as tables with a sale_number column, from stored sales and offers."""
-    raw_sales, raw_offers = lots.stored_lots(sales), lots.stored_lots(offers)
-    sold, offered = cut(lots.prepare_sales(raw_sales)), cut(lots.prepare_offers(raw_offers))
-    figures = cut(kpis.weekly_kpis(raw_sales, raw_offers))
+    """The parts of all reports as tables with a sale_number column, from stored sales and offers.
+
+    Sales and offers are cleaned, weighed and written once; all parts derive from those two tables.
+    """
+    raw_sales = cut(lots.mark_sales(lots.stored_lots(sales)))
+    raw_offers = lots.stored_lots(offers)
+    needed = {"sale_number", *lots.KEYS, "quantity_kgs", "package_count", *arrival(raw_sales)}
+    raw_offers = cut(raw_offers.select(*[c for c in raw_offers.columns if c in needed]))
+    sold = raw_sales.filter("priced").drop("priced")
+    figures = cut(kpis.key_figures(raw_sales, raw_offers))
     weeks = figures.select("sale_number")
     previous = sequence.previous_sales(weeks, sold)
     bars = cut(movements.ohlc(sold))
     joined = cut(movements.joined_movements(bars))
     moves = movements.movement_metrics(joined)
     insights = movements.insights_from(bars, joined, previous)
-    dates = sequence.sale_dates(raw_sales, offered, arrival(raw_sales))
+    dates = first_dates(raw_sales, lots.prepare_offers(raw_offers))
     return {
         "documents": documents(figures, dates, insights, kpis.outlook(raw_sales, raw_offers, location), location),
         "raw_sales_data": lots.raw_export(sold),

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from datetime import date, datetime
 
 import pytest
@@ -46,6 +47,20 @@ def test_exact_sum(spark):
     assert df.filter("v is null").agg(numbers.exact_sum(F.col("v"))).first()[0] is None
 
 
+def test_exact_sums_leave_code_that_the_jvm_compiles(spark):
+    """Methods beyond 8,000 bytes are interpreted; two exact sums by group have to stay below."""
+    df = spark.range(10).select(F.col("id").alias("k"), F.col("id").cast("double").alias("v"))
+    df = df.groupBy("k").agg(numbers.exact_sum(F.col("v")), numbers.exact_sum(F.col("v") * 3))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(map(int, sizes)) < 6000
+
+
 def test_dates(spark):
     cases = {
         "02/09/2025 12:49:12:300": date(2025, 9, 2), "2025-09-02 01:02:03": date(2025, 9, 2), "2025/07/29": date(2025, 7, 29),

@@ -194,3 +194,33 @@ def test_greedy_does_not_depend_on_partitions(spark):
     store = df.filter("false")
     runs = [sorted(r["seq"] for r in news_dedup_greedy(df.repartition(n), store).collect()) for n in (1, 6)]
     assert runs[0] == runs[1]
+
+
+def test_reports_read_lots_once_per_role(spark, monkeypatch):
+    """Line items are read once for sales and once for offers; all that a report tells derives from what is written then."""
+    from gavelline import session
+    from gavelline.bindings import streams
+    from gavelline.operators import kpis, market, movements
+
+    read = []
+
+    def counted(df, cut=session.cut):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        read.append(sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()))
+        return cut(df)
+
+    for module in (weekly, kpis, market, movements):
+        monkeypatch.setattr(module, "cut", counted)
+    df = streams.report_documents(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(read) == 2 and "l_orderkey" not in plan
+
+
+def test_first_dates_go_by_time_of_storing_then_file_then_date(spark):
+    schema = "sale_number string, sale_date date, broker string, processed_timestamp timestamp, source_file_identifier string"
+    d1, d2, t1, t2 = datetime(2025, 1, 1).date(), datetime(2025, 1, 2).date(), datetime(2025, 2, 1), datetime(2025, 2, 2)
+    sales = [("1", d2, "z", t1, "f"), ("1", d1, "a", t2, "f"), ("1", d2, "a", t1, "f"), ("2", d2, "a", t1, "f"), ("2", d1, "z", t1, "f"),
+             ("2", d1, "z", t1, "f"), ("3", None, "a", t1, "f"), ("4", d2, "b", None, "f"), ("4", d1, "a", t1, "f")]
+    offers = [("1", d1, "a", t1, "a"), ("3", d2, "a", t1, "f"), ("3", d1, "a", t1, "g")]
+    dates = weekly.first_dates(spark.createDataFrame(sales, schema), spark.createDataFrame(offers, schema))
+    assert {r["sale_number"]: r["sale_date"] for r in dates.collect()} == {"1": d2, "2": d1, "3": d2, "4": d2}
