@@ -129,7 +129,9 @@ def report_json_sink(tables: dict[str, DataFrame], out: str, location: str) -> N
     """Write the reports as JSON: a file per sale with its charts, row tables by sale, and the index that the catalogue reads.
 
     Nulls and NaN leave no field.  A sale with very many rows is written by several tasks.  The index comes last.
+    Chart tables are worked out once, for their own files and for the documents.
     """
+    tables = tables | {name: cut(tables[name]) for name in CHARTS}
     for name, df in tables.items():
         if name != "documents":
             df.hint("rebalance", "sale_number").write.mode("overwrite").partitionBy("sale_number").json(f"{out}/{name}")

@@ -224,3 +224,28 @@ def test_first_dates_go_by_time_of_storing_then_file_then_date(spark):
     offers = [("1", d1, "a", t1, "a"), ("3", d2, "a", t1, "f"), ("3", d1, "a", t1, "g")]
     dates = weekly.first_dates(spark.createDataFrame(sales, schema), spark.createDataFrame(offers, schema))
     assert {r["sale_number"]: r["sale_date"] for r in dates.collect()} == {"1": d2, "2": d1, "3": d2, "4": d2}
+
+
+def test_chart_tables_are_worked_out_once(spark, tmp_path, monkeypatch):
+    """Documents and files of the chart tables are written from the same written rows."""
+    given = {}
+
+    def kept(docs, tables, with_charts=weekly.with_charts):
+        given.update(tables)
+        return with_charts(docs, tables)
+
+    monkeypatch.setattr(weekly, "with_charts", kept)
+    day = datetime(2025, 9, 1).date()
+    rows = [(day, "1", "b", "m", "g", f"{i}", 10.0, 1.0, 2.0 + i, f"buyer{i % 3}") for i in range(9)]
+    schema = "sale_date date, sale_number string, broker string, mark string, grade string, lot_number string, quantity_kgs double, package_count double, price double, buyer string"
+    sales = spark.createDataFrame(rows, schema)
+    out = str(tmp_path / "reports")
+    weekly.report_json_sink(weekly.report_tables(sales, sales.drop("price", "buyer"), "Harbour"), out, "Harbour")
+    for name in weekly.CHARTS:
+        plan = given[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Relation" in plan and not any(step in plan for step in ("Aggregate", "Window", "Join"))
+    doc = json.loads((tmp_path / "reports" / "documents" / "harbour_1.json").read_text())
+    assert [(r["rank"], r["buyer"], r["total_value"]) for r in doc["charts"]["top_buyers_by_value"]] == [
+        (1, "BUYER2", 210.0), (2, "BUYER1", 180.0), (3, "BUYER0", 150.0)]
+    files = spark.read.json(f"{out}/top_buyers_by_value")
+    assert sorted((r["rank"], r["buyer"]) for r in files.collect()) == [(1, "BUYER2"), (2, "BUYER1"), (3, "BUYER0")]
