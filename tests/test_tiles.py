@@ -77,3 +77,61 @@ def test_parts_make_the_same_pairs(spark, monkeypatch):
 def test_no_headlines(spark):
     none = spark.createDataFrame([], "id binary, headline string, at bigint")
     assert dedup.alike_pairs(none, none, 1).collect() == []
+
+
+def _prose(rng, n, words):
+    text = ""
+    while len(text) < n:
+        text += rng.choice(words) + " "
+    return text[:n]
+
+
+@pytest.mark.parametrize("sizes", [(2, 3), (512, 1024)])
+@pytest.mark.parametrize("wide, few", [(512, 4), (150, 0), (150, 10**6)])
+def test_runs_of_long_texts_equal_all_pairs(monkeypatch, sizes, wide, few):
+    """Pieces in one stretch or in several, pairs told at once or one by one, edits spread, moved, in blocks and at the ends."""
+    for name, value in {"LEFT_GROUP": sizes[0], "RIGHT_GROUP": sizes[1], "WIDE": wide, "FEW": few, "STEP": 64}.items():
+        monkeypatch.setattr(similarity, name, value)
+    rng, seen = random.Random(wide + few), 0
+    for letters in ("ab", "etaoin shrdlu", "".join(map(chr, range(0x4E00, 0x4F00)))):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 7))) for _ in range(30)]
+        left = [_prose(rng, n, words) for n in (201, 260, 300, 420, 640, 900)] + [words[0] * 90, (words[0] + words[1]) * 60]
+        left = [t for t in left if len(t) > similarity.LONG]
+        right = []
+        for t in left:
+            right += [mutate(rng, t, int(len(t) * x), letters) for x in (0.02, 0.09, 0.1, 0.2)]
+            right += [t[int(len(t) * x) :] for x in (0.1, 0.17, 0.18, 0.2)] + [t[: int(len(t) * 0.83)], "".join(words)[: len(t) // 10] + t]
+            right += [t[len(t) // 11 :] + t[: len(t) // 11], t[: len(t) // 2] + t[len(t) * 3 // 5 :] + letters[0] * 12, _prose(rng, len(t), words)]
+        right = [t for t in right if len(t) > similarity.LONG]
+        until, since = np.array([rng.randrange(20, 60) for _ in left]), np.sort([rng.randrange(50) for _ in right])
+        for a, b in ((left, right), (right, left)):
+            want = _all_pairs(a, b, np.ones(len(a)), np.zeros(len(b)))
+            i, j, _ = similarity.alike_in_tile(a, b, np.ones(len(a)), np.zeros(len(b)), 10**9)
+            assert set(zip(i.tolist(), j.tolist())) == want and len(i) == len(want)
+            seen += len(want)
+        want = _all_pairs(left, right, until, since)
+        i, j, met = similarity.alike_in_tile(left, right, until, since, 2)
+        got = set(zip(i.tolist(), j.tolist()))
+        assert got <= want and all((x, y) in got for x, y in want if y < met[x])
+        assert all(met[x] == len(right) or sum(a == x for a, _ in got) >= 2 for x in range(len(left)))
+    assert seen > 100
+
+
+def test_unlike_long_texts_leave_before_their_common_lengths(monkeypatch):
+    """Lines of a thousand and more characters share most of their common runs of three; few pairs are told by the whole table."""
+    told = []
+
+    def counted(a, b, i, j, can_be_alike=similarity.can_be_alike):
+        told.append(len(i))
+        return can_be_alike(a, b, i, j)
+
+    monkeypatch.setattr(similarity, "can_be_alike", counted)
+    rng = random.Random(4)
+    words = ["".join(rng.choice("eeettaaoiinnsshrrdllucmfwypvbgk") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    for size in (600, 1000, 3000):
+        left, right = ([_prose(rng, size + rng.randrange(40), words) for _ in range(60)] for _ in range(2))
+        right += [mutate(rng, t, size // 20, "aeiou ") for t in left[:5]]
+        told.clear()
+        i, j, _ = similarity.alike_in_tile(left, right, np.ones(60), np.zeros(65), 1)
+        assert list(zip(i.tolist(), j.tolist())) == [(k, 60 + k) for k in range(5)]
+        assert sum(told) < 60 * 65 / 4
