@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelline.operators import kpis, lots, market, movements, sequence
-from gavelline.session import cut
+from gavelline.session import cut, freed_shuffles
 from gavelline.sources.documents import write_documents
 from gavelline.sources.store import read_store
 
@@ -23,36 +23,38 @@ def first_dates(sales: DataFrame, offers: DataFrame) -> DataFrame:
 def report_tables(sales: DataFrame, offers: DataFrame, location: str) -> dict[str, DataFrame]:
     """The parts of all reports as tables with a sale_number column, from stored sales and offers.
 
-    Sales and offers are cleaned, weighed and written once; all parts derive from those two tables.
+    Sales and offers are cleaned and written once; all parts derive from those two tables.  Sales are written by sale, so that the
+    rows of a sale meet in few tasks before they are added up or written; weights and values follow from them and are not stored.
     """
-    raw_sales = cut(lots.mark_sales(lots.stored_lots(sales)))
-    raw_offers = lots.stored_lots(offers)
-    needed = {"sale_number", *lots.KEYS, "quantity_kgs", "package_count", *arrival(raw_sales)}
-    raw_offers = cut(raw_offers.select(*[c for c in raw_offers.columns if c in needed]))
-    sold = raw_sales.filter("priced").drop("priced")
-    figures = cut(kpis.key_figures(raw_sales, raw_offers))
-    weeks = figures.select("sale_number")
-    previous = sequence.previous_sales(weeks, sold)
-    bars = cut(movements.ohlc(sold))
-    joined = cut(movements.joined_movements(bars))
-    moves = movements.movement_metrics(joined)
-    insights = movements.insights_from(bars, joined, previous)
-    dates = first_dates(raw_sales, lots.prepare_offers(raw_offers))
-    return {
-        "documents": documents(figures, dates, insights, kpis.outlook(raw_sales, raw_offers, location), location),
-        "raw_sales_data": lots.raw_export(sold),
-        "source_sales_week": sold,
-        "source_prev_grade_metrics": market.prev_grade_mean(sold, previous),
-        "source_prev_broker_metrics": market.prev_broker_total(sold, previous),
-        "source_movement_data": moves.drop("previous_sale"),
-        "movement_marks": movements.movement_marks(moves),
-        "price_distribution": market.price_histogram(sold),
-        "grade_performance": market.grade_layer(sold, previous),
-        "broker_performance": market.broker_layer(sold, previous),
-        "top_buyers_by_value": market.buyer_ranking(sold, "value"),
-        "top_buyers_by_volume": market.buyer_ranking(sold, "volume"),
-        "buyer_grades": market.buyer_grades(sold),
-    }
+    with freed_shuffles(sales.sparkSession):
+        raw_sales = lots.mark_sales(cut(lots.stored_lots(sales).hint("rebalance", "sale_number")))
+        raw_offers = lots.stored_lots(offers)
+        needed = {"sale_number", *lots.KEYS, "quantity_kgs", "package_count", *arrival(raw_sales)}
+        raw_offers = cut(raw_offers.select(*[c for c in raw_offers.columns if c in needed]))
+        sold = raw_sales.filter("priced").drop("priced")
+        figures = cut(kpis.key_figures(raw_sales, raw_offers))
+        weeks = figures.select("sale_number")
+        previous = sequence.previous_sales(weeks, sold)
+        bars = cut(movements.ohlc(sold))
+        joined = cut(movements.joined_movements(bars))
+        moves = movements.movement_metrics(joined)
+        insights = movements.insights_from(bars, joined, previous)
+        dates = first_dates(raw_sales, lots.prepare_offers(raw_offers))
+        return {
+            "documents": documents(figures, dates, insights, kpis.outlook(raw_sales, raw_offers, location), location),
+            "raw_sales_data": lots.raw_export(sold),
+            "source_sales_week": sold,
+            "source_prev_grade_metrics": market.prev_grade_mean(sold, previous),
+            "source_prev_broker_metrics": market.prev_broker_total(sold, previous),
+            "source_movement_data": moves.drop("previous_sale"),
+            "movement_marks": movements.movement_marks(moves),
+            "price_distribution": market.price_histogram(sold),
+            "grade_performance": market.grade_layer(sold, previous),
+            "broker_performance": market.broker_layer(sold, previous),
+            "top_buyers_by_value": market.buyer_ranking(sold, "value"),
+            "top_buyers_by_volume": market.buyer_ranking(sold, "volume"),
+            "buyer_grades": market.buyer_grades(sold),
+        }
 
 
 def documents(figures: DataFrame, dates: DataFrame, insights: DataFrame, outlook: DataFrame, location: str) -> DataFrame:
@@ -125,24 +127,31 @@ def with_charts(docs: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     return docs.withColumn("charts", charts).drop(*CHARTS)
 
 
+#: Row tables of lots, which are read by sale as they were written and need not be dealt out again.
+BY_SALE = {"raw_sales_data", "source_sales_week"}
+
+
 def report_json_sink(tables: dict[str, DataFrame], out: str, location: str) -> None:
     """Write the reports as JSON: a file per sale with its charts, row tables by sale, and the index that the catalogue reads.
 
     Nulls and NaN leave no field.  A sale with very many rows is written by several tasks.  The index comes last.
-    Chart tables are worked out once, for their own files and for the documents.
+    Chart tables are worked out once, for their own files and for the documents.  Row tables are compressed: they are texts
+    that repeat their names and values, many times as large as what they are made of.
     """
-    tables = tables | {name: cut(tables[name]) for name in CHARTS}
-    for name, df in tables.items():
-        if name != "documents":
-            df.hint("rebalance", "sale_number").write.mode("overwrite").partitionBy("sale_number").json(f"{out}/{name}")
-    docs = cut(with_charts(with_manifest(tables["documents"], sorted(set(tables) - {"documents"})), tables))
-    body = F.to_json(F.struct(*[c for c in docs.columns if c not in ("sale_number", "filename")]))
-    write_documents(docs.select("filename", body.alias("body")), f"{out}/documents")
-    entries = report_index(docs)
-    fields = F.struct(F.col("sale_number").alias("key"), F.struct(*entries.columns).alias("entry"))
-    listed = F.transform(F.sort_array(F.collect_list(fields), asc=False), lambda e: e["entry"])  # an entry per sale
-    index = entries.agg(F.to_json(listed).alias("body")).withColumn("filename", F.lit(f"{location.lower()}_index.json"))
-    write_documents(index, out)
+    with freed_shuffles(tables["documents"].sparkSession):
+        tables = tables | {name: cut(tables[name]) for name in CHARTS}
+        docs = cut(with_charts(with_manifest(tables["documents"], sorted(set(tables) - {"documents"})), tables))
+        # the largest tables come last, when what the others shuffle has gone
+        for name in sorted(set(tables) - {"documents"}, key=lambda name: (name in BY_SALE, name)):
+            df = tables[name] if name in BY_SALE else tables[name].hint("rebalance", "sale_number")
+            df.write.mode("overwrite").partitionBy("sale_number").json(f"{out}/{name}", compression="gzip")
+        body = F.to_json(F.struct(*[c for c in docs.columns if c not in ("sale_number", "filename")]))
+        write_documents(docs.select("filename", body.alias("body")), f"{out}/documents")
+        entries = report_index(docs)
+        fields = F.struct(F.col("sale_number").alias("key"), F.struct(*entries.columns).alias("entry"))
+        listed = F.transform(F.sort_array(F.collect_list(fields), asc=False), lambda e: e["entry"])  # an entry per sale
+        index = entries.agg(F.to_json(listed).alias("body")).withColumn("filename", F.lit(f"{location.lower()}_index.json"))
+        write_documents(index, out)
 
 
 def build_reports(spark: SparkSession, root: str, out: str, location: str) -> None:

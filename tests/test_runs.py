@@ -2,9 +2,11 @@
 
 import json
 import random
+import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from gavelline.operators import catalogue, ingest, news, statistics
 from gavelline.plans import ingest as ingest_plan
@@ -249,3 +251,64 @@ def test_chart_tables_are_worked_out_once(spark, tmp_path, monkeypatch):
         (1, "BUYER2", 210.0), (2, "BUYER1", 180.0), (3, "BUYER0", 150.0)]
     files = spark.read.json(f"{out}/top_buyers_by_value")
     assert sorted((r["rank"], r["buyer"]) for r in files.collect()) == [(1, "BUYER2"), (2, "BUYER1"), (3, "BUYER0")]
+
+
+def test_row_tables_take_less_room_than_their_rows(spark, tmp_path):
+    """Row tables of lots are compressed and hold the same rows; none of their text lies about plain."""
+    day = datetime(2025, 9, 1).date()
+    rows = [(day, f"{i % 3}", f"b{i % 5}", f"m{i % 7}", "g", f"{i * 7919}", 10.0, 1.0, 2.0 + i, f"buyer{i % 300}") for i in range(6000)]
+    schema = "sale_date date, sale_number string, broker string, mark string, grade string, lot_number string, quantity_kgs double, package_count double, price double, buyer string"
+    sales = spark.createDataFrame(rows, schema)
+    out = tmp_path / "reports"
+    tables = weekly.report_tables(sales, sales.drop("price", "buyer"), "Harbour")
+    weekly.report_json_sink(tables, str(out), "Harbour")
+    for name in ("raw_sales_data", "source_sales_week", "buyer_grades"):
+        texts = sorted(r["value"] for r in tables[name].drop("sale_number").toJSON().toDF("string").collect())
+        assert texts == sorted(r["value"] for r in spark.read.text(f"{out}/{name}/*").collect())
+        assert spark.read.json(f"{out}/{name}").groupBy("sale_number").count().count() == 3
+        sizes = sum(p.stat().st_size for p in (out / name).rglob("part-*"))
+        assert 0 < sizes < sum(map(len, texts)) / 4
+
+
+def test_lots_are_dealt_out_once(spark, tmp_path, monkeypatch):
+    """Sales are written by sale; tables of lots are written from there without another shuffle."""
+    day = datetime(2025, 9, 1).date()
+    rows = [(day, f"{i % 2}", "b", "m", "g", f"{i}", 10.0, 1.0, 2.0 + i, "x") for i in range(50)]
+    schema = "sale_date date, sale_number string, broker string, mark string, grade string, lot_number string, quantity_kgs double, package_count double, price double, buyer string"
+    sales = spark.createDataFrame(rows, schema)
+    cuts = []
+
+    def kept(df, cut=weekly.cut):
+        cuts.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(weekly, "cut", kept)
+    tables = weekly.report_tables(sales, sales.drop("price", "buyer"), "Harbour")
+    assert "Rebalance" in cuts[0] and "value_usd" not in cuts[0]
+    for name in weekly.BY_SALE:
+        plan = tables[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Relation" in plan and not any(step in plan for step in ("Aggregate", "Window", "Join", "Rebalance", "Repartition"))
+
+
+def test_shuffles_go_with_their_query(spark, tmp_path):
+    from gavelline.session import freed_shuffles
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        found = set()
+        while files.hasNext():
+            found.add(files.next().getName())
+        return {f for f in found if f.startswith("shuffle_")}
+
+    before, known = spark.conf.get(name, None), shuffled()
+    with freed_shuffles(spark):
+        df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        df.write.parquet(str(tmp_path / "t"))
+    for _ in range(100):
+        if not shuffled() - known:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - known and spark.conf.get(name, None) == before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 7 and df.count() == 7
